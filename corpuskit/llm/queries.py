@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import budget, encode, leaks, mixing, neardup, split
+from corpuskit.llm import budget, encode, leaks, licenses, mixing, neardup, split
+from corpuskit.llm.syntax import operator as syntax
 from corpuskit.session import table
 
 
+def _verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.corpus_verdicts(table(spark, d, "python_tutorial_code"), table(spark, d, "repo_files"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _verdicts(spark, d).filter("not parses").select("item_table", "item_id")
+
+
+def p1_rates(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.rates(_verdicts(spark, d))
+
+
+def p1_against_recorded(spark: SparkSession, d: str) -> DataFrame:
+    return syntax.against_recorded(_verdicts(spark, d), table(spark, d, "validation_result"))
+
+
 def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(table(spark, d, "python_tutorial_code"))
 
@@ -21,6 +38,18 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return _near(spark, d).classes().withColumnRenamed("id", "record_id")
 
 
+def _licenses(spark: SparkSession, d: str) -> licenses.Licenses:
+    return licenses.Licenses(table(spark, d, "repo_files"), table(spark, d, "repo_candidates"), table(spark, d, "manifest"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _licenses(spark, d).found()
+
+
+def p3_files(spark: SparkSession, d: str) -> DataFrame:
+    return _licenses(spark, d).files
+
+
 def _items(spark: SparkSession, d: str) -> DataFrame:
     docs = budget.items(table(spark, d, "documents"), "documents", "doc_id", "text", "source", "lang", "domain")
     return docs.unionByName(budget.items(table(spark, d, "python_tutorial_code"), "python_tutorial_code", "record_id", "code", "source"))
@@ -89,7 +118,7 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_groups, p4_token_cube, p4_item_tokens, p4_totals, p5_found, p5_plan, p5_sample, p5_shares,
+        p1_found, p1_rates, p1_against_recorded, p2_found, p2_groups, p3_found, p3_files, p4_token_cube, p4_item_tokens, p4_totals, p5_found, p5_plan, p5_sample, p5_shares,
         p6_ids, p7_found, p7_coverage, p8_found, p8_pieces,
     )
 }
