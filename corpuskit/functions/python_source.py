@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskit.session import spread
+
 FIELDS = [
     ("is_valid", "boolean"), ("error_type", "string"), ("error_message", "string"), ("line_number", "long"), ("column_offset", "long"),
     ("node_count", "long"), ("has_comments", "boolean"), ("has_docstrings", "boolean"), ("comment_ratio", "double"), ("function_count", "long"),
@@ -193,7 +195,7 @@ def with_validation(df: DataFrame, code_col: str, out_col: str = "validation", m
                 labels += ["token_count", "pep8_violations"]
             yield pa.RecordBatch.from_arrays(out, labels)
 
-    return df.mapInArrow(run, f"{columns}, `{out_col}` {VALIDATION_SCHEMA}{extra}")
+    return spread(df).mapInArrow(run, f"{columns}, `{out_col}` {VALIDATION_SCHEMA}{extra}")
 
 
 def failure_reason(validation: str = "validation"):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions.text import unify_newlines
+from corpuskit.session import spread
 
 
 def _c(c: Column | str) -> Column:
@@ -53,7 +54,7 @@ def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Words are exploded and the 64 bit counts summed, so counting is combined before the shuffle.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.explode(simhash_words(text_col)).alias("w"))
+    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))).select("id", F.explode(simhash_words("t")).alias("w"))
     hashed = rows.groupBy("id", "w").agg(F.count(F.lit(1)).alias("c")).select("id", "c", word_hash(F.col("w")).alias("h"))
     sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1)) * F.col("c")).alias(f"b{b}") for b in range(64)]
     counted = hashed.groupBy("id").agg(F.sum("c").alias("n"), *sums)

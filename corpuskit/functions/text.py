@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Unicode white space as Python's strip() sees it (Java's \s and trim() know less).
-SPACE = r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-SPACE_NO_LF = r"[\t\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Unicode white space as Python's strip() sees it (Java's \s and trim() know less). The look-ahead settles printable ASCII,
+# nearly all characters, by one comparison before the class is tried member by member.
+_CLASS = r"[\t{lf}\x0b\f\r\x1c-\x1f \x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]"
+SPACE = "(?:(?![!-~])" + _CLASS.format(lf=r"\n") + ")"
+SPACE_NO_LF = "(?:(?![!-~])" + _CLASS.format(lf="") + ")"
 
 
 def _c(c: Column | str) -> Column:

@@ -138,16 +138,34 @@ def funnel(
 ) -> DataFrame:
     """Each record in the bucket of its first failed check, or 'retained'; ``order`` is the total order of arrival.
 
-    Empty records are out before their hash is looked at; invalid ones still take their hash.
+    Empty records are out before their hash is looked at; invalid ones still take their hash. Where the measures are
+    costly, use ``arrivals`` first, measure the first arrivals only, and name the buckets with ``bucket``.
     """
+    named = bucket(ast_valid, tokens, ratio, style, min_tokens, max_tokens, min_ratio, max_style)
+    return arrivals(df, code_col, order).withColumn("bucket", named).drop("is_blank", "is_first")
+
+
+def arrivals(df: DataFrame, code_col: str, order: list[str]) -> DataFrame:
+    """Adds is_blank, and is_first: the record is the first of its content (blank ones are not compared)."""
     code = F.col(code_col)
-    blank = code.isNull() | (strip(code) == "")
-    rows = df.withColumns({"_blank": blank, "_hash": exact_hash(F.coalesce(code, F.lit("")))})
-    full = first_seen(rows.filter("not _blank"), ["_hash"], order, flag="_first")
-    rows = full.unionByName(rows.filter("_blank").withColumn("_first", F.lit(True)))
-    bucket = (
-        F.when(F.col("_blank"), "syntax_invalid")
-        .when(~F.col("_first"), "exact_duplicates")
+    rows = df.withColumns({"is_blank": code.isNull() | (strip(code) == ""), "_hash": exact_hash(F.coalesce(code, F.lit("")))})
+    full = first_seen(rows.filter("not is_blank"), ["_hash"], order, flag="is_first")
+    return full.unionByName(rows.filter("is_blank").withColumn("is_first", F.lit(True))).drop("_hash")
+
+
+def bucket(
+    ast_valid: Column,
+    tokens: Column,
+    ratio: Column,
+    style: Column,
+    min_tokens: int = MIN_TOKENS,
+    max_tokens: int = MAX_TOKENS,
+    min_ratio: float = MIN_COMMENT_RATIO,
+    max_style: int = MAX_STYLE,
+) -> Column:
+    return (
+        F.when(F.col("is_blank"), "syntax_invalid")
+        .when(~F.col("is_first"), "exact_duplicates")
         .when(~F.coalesce(ast_valid, F.lit(False)), "syntax_invalid")
         .when(tokens < min_tokens, "too_short")
         .when(tokens > max_tokens, "too_long")
@@ -155,7 +173,6 @@ def funnel(
         .when(style > max_style, "pep8_rejected")
         .otherwise("retained")
     )
-    return rows.withColumn("bucket", bucket).drop("_blank", "_first", "_hash")
 
 
 def funnel_counts(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from corpuskit.functions import metrics, python_source, similarity, text
 from corpuskit.operators import dedup, governance, packages, qa, quality, repos, texts
 from corpuskit.sources import readers
 from corpuskit.streaming import jobs
-from corpuskit.session import cut_lineage, ensure_checkpoint_dir, table
+from corpuskit.session import cut_lineage, ensure_checkpoint_dir, spread, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -104,7 +104,7 @@ b AS (SELECT *, CASE WHEN blank THEN 'syntax_invalid' WHEN NOT first THEN 'exact
 
 
 def _funnel(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text").withColumn("ratio", metrics.comment_line_ratio("text"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text")).withColumn("ratio", metrics.comment_line_ratio("text"))
     return quality.funnel(docs, "text", ["doc_id"], F.lit(True), metrics.words("text"), F.col("ratio"), F.lit(0))
 
 
@@ -134,10 +134,14 @@ def q_code_validation(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def q_code_funnel(spark: SparkSession, d: str) -> DataFrame:
-    """The funnel over code records, with real syntax checks and measures."""
-    rows = python_source.with_validation(_code(spark, d).select("record_id", "code"), "code")
+    """The funnel over code records, with real syntax checks and measures, which first arrivals alone need."""
+    rows = quality.arrivals(_code(spark, d).select("record_id", "code"), "code", ["record_id"])
+    first = python_source.with_validation(rows.filter("is_first and not is_blank"), "code")
     v = F.col("validation")
-    return quality.funnel_counts(quality.funnel(rows, "code", ["record_id"], v["is_valid"], F.col("token_count"), v["comment_ratio"], F.col("pep8_violations")))
+    measured = first.withColumn("bucket", quality.bucket(v["is_valid"], F.col("token_count"), v["comment_ratio"], F.col("pep8_violations")))
+    none = F.lit(None)
+    others = rows.filter("is_blank or not is_first").withColumn("bucket", quality.bucket(none.cast("boolean"), none, none, none))
+    return quality.funnel_counts(measured.select("bucket").unionByName(others.select("bucket")))
 
 
 @query()
@@ -174,7 +178,7 @@ SELECT record_id, sha256({_strip(_lf('code'))}) AS exact_hash,
  sha256(regexp_replace(regexp_replace(CASE WHEN regexp_full_match(n0, '\n+') THEN '' ELSE n0 END, '\A\n{{2,}}', chr(10)), '\n{{2,}}\z', chr(10))) AS normalized_hash,
  sha256(l) AS line_hash, sha256(array_to_string(list_filter(string_split(l, repeat(chr(34), 3)), lambda v, i: i % 2 = 1), '')) AS content_hash, sha256(lower({_strip('code')})) AS answer_hash FROM c""")
 def q_hash_variants(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "python_tutorial_code").filter("code is not null")
+    rows = spread(table(spark, d, "python_tutorial_code").select("record_id", "code").filter("code is not null"))
     hashes = {"exact_hash": text.exact_hash, "normalized_hash": text.normalized_hash, "line_hash": text.line_hash, "content_hash": text.content_hash, "answer_hash": text.answer_hash}
     return rows.select("record_id", *[f("code").alias(n) for n, f in hashes.items()]).distinct()
 

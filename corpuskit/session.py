@@ -40,3 +40,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: the rows are written to the shared folder and read back from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, bytes_per_task: int = 2 << 20) -> DataFrame:
+    """Rows for work that is heavy for their size (Python passes): an input too small to have a task for each core, as the
+    planner estimates it, is spread over all cores. Large inputs, split by the scan already, are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * bytes_per_task else df
