@@ -19,6 +19,7 @@ from corpuskit.llm.arrow import small_batches
 from corpuskit.llm.bpe import BYTE_BPE_50K, TOKENIZER_DIR, load_bpe, tokenizer_hash
 from corpuskit.llm.mixing import source_name
 from corpuskit.operators.joins import anti_join
+from corpuskit.session import spread
 
 DIMENSIONS = ["item_table", "source", "lang", "domain"]
 _KEY = ["item_table", "item_id", "content_hash"]
@@ -71,7 +72,7 @@ def count_tokens(rows: DataFrame, known: DataFrame | None = None, directory: str
             n = [bpe.count(t) for t in batch.column("text").take(take).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("content_hash").take(take), pa.array(n, pa.int64())], ["content_hash", "n_tokens"])
 
-    counted = todo.mapInArrow(run, "content_hash binary, n_tokens long").groupBy("content_hash").agg(F.max("n_tokens").alias("n_tokens"))
+    counted = spread(todo).mapInArrow(run, "content_hash binary, n_tokens long").groupBy("content_hash").agg(F.max("n_tokens").alias("n_tokens"))
     return counted.select("content_hash", F.lit(of).alias("tokenizer_hash"), "n_tokens")
 
 

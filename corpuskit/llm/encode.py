@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm.arrow import lists, small_batches
 from corpuskit.llm.bpe import BYTE_BPE_50K, TOKENIZER_DIR, load_bpe
+from corpuskit.session import spread
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
@@ -67,7 +68,7 @@ def encode_corpus(
 ) -> DataFrame:
     """``id_col`` and ``ids`` (array of int) of every row."""
     id_type = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     long_text = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
     # A text of at most chunk_chars bytes is short for sure: most rows are told apart without counting characters.
     short = rows.filter((F.coalesce(F.octet_length("text"), F.lit(0)) <= chunk_chars) | ~long_text)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from corpuskit.llm.arrow import small_batches
+from corpuskit.session import spread
 
 MIN_WORDS = 13
 BLOCK_CHARS = 16 << 20
@@ -181,7 +182,7 @@ def find_leaks(
     kept = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null").distinct()
     size = kept.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text_col).alias("text")).filter(f"id is not null and length(text) >= {2 * min_words - 1}")
+    rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text_col).alias("text")).filter(f"id is not null and length(text) >= {2 * min_words - 1}"))
     item_kind = to_arrow_type(items.schema[item_id].dataType)
     schema = f"doc {doc_type}, item {item_type}, tiles long, longest long, covered long, words long"
     out = None

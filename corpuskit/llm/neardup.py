@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.operators.components import connected_components
 from corpuskit.operators.joins import semi_join
-from corpuskit.session import cut_lineage
+from corpuskit.session import cut_lineage, spread
 
 THRESHOLD = 0.85
 MIN_CHARS = 200
@@ -296,7 +296,7 @@ class NearDuplicates:
         self.members = self.rows.select("id", "h").distinct()
         splits = max(1, ceil(df.count() / split_rows))
         sketcher = _Sketcher(threshold, SIZE_STEP, GROUPS, splits, miss)
-        blocks = self.rows.select("h", "text").mapInArrow(_sketch_batches(sketcher), _BLOCK)
+        blocks = spread(self.rows.select("h", "text")).mapInArrow(_sketch_batches(sketcher), _BLOCK)
         candidates = blocks.groupBy("part").applyInArrow(_join_blocks(threshold), "a long, b long").distinct()
         self.candidates = cut_lineage(candidates)
         self.links = cut_lineage(self._verified())

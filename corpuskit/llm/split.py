@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm.arrow import small_batches
 from corpuskit.llm.bpe import BYTE_BPE_50K, TOKENIZER_DIR, Bpe, load_bpe
+from corpuskit.session import spread
 
 MAX_TOKENS = 2048
 OVERLAP_TOKENS = 128
@@ -160,7 +161,7 @@ def split_oversized(
 ) -> DataFrame:
     """One row per piece of each oversized text; no shuffle. Texts of few bytes are told apart in the scan."""
     id_type = df.schema[id_col].dataType.simpleString()
-    rows = df.filter(F.octet_length(text_col) > max_tokens).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = spread(df.filter(F.octet_length(text_col) > max_tokens).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
 
     def run(batches):
         bpe = load_bpe(directory, name)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from corpuskit.llm.arrow import small_batches
 from corpuskit.llm.mixing import source_name
 from corpuskit.llm.syntax import data, python
+from corpuskit.session import spread
 
 #: Extension -> language.
 LANGUAGES = {"py": "python", "json": "json", "toml": "toml", "xml": "xml"}
@@ -86,7 +87,7 @@ def verdicts(df: DataFrame, keys: list[str], language_col: str, text_col: str) -
                 [*keys, "language", "parses", "dialects", "error"],
             )
 
-    return rows.mapInArrow(run, f"{schema}, language string, parses boolean, dialects array<string>, error string")
+    return spread(rows).mapInArrow(run, f"{schema}, language string, parses boolean, dialects array<string>, error string")
 
 
 def file_language(path_col: str = "path"):
