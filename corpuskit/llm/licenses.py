@@ -221,8 +221,8 @@ def _names(tokens: list[str]) -> list[tuple[int, int, str]]:
         for j in range(i, min(len(tokens), i + 14)):
             if tokens[j] in ("|", "v"):
                 continue
-            if tokens[j] not in _NAME_WORDS:
-                break
+            if tokens[j] not in _NAME_WORDS or tokens[j] == "license" and tokens[j + 1 : j + 2] in ([":"], ["="]):
+                break  # a word with a colon after it begins the next statement
             plain.append(tokens[j])
             ends.append(j + 1)
             if len(plain) == 8:
@@ -242,7 +242,7 @@ def _names(tokens: list[str]) -> list[tuple[int, int, str]]:
             stop += 2
         if tokens[stop : stop + 1] in (["only"], ["+"]):
             stop += 1
-        while stop < len(tokens) and tokens[stop] == "license":
+        while stop < len(tokens) and tokens[stop] == "license" and tokens[stop + 1 : stop + 2] not in ([":"], ["="]):
             stop += 1
         out.append((i, stop, license_))
         i = stop

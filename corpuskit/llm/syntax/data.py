@@ -45,7 +45,11 @@ def _json_kind(t: str) -> str:
     return "0" if c.isdigit() or (c == "-" and len(t) > 1) else "?"
 
 
+_JSON_RUN = re.compile(r"(,(?:s:)?[s0tv])\1{3,}")
+
+
 def _json_ok(kinds: str) -> bool:
+    kinds = _JSON_RUN.sub(r"\1\1\1", kinds)  # more members of one kind in a row say no more
     got = _json_memo.get(kinds)
     if got is None:
         if len(_json_memo) > _MEMO_MAX:

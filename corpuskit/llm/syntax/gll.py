@@ -55,7 +55,8 @@ class Grammar:
                     new = f"_{self._fresh}"
                     self._fresh += 1
                     one = [(self.all, ()), (self.all, (symbol,))]
-                    self.rules[new] = one if op == "?" else [one[0], (self.all, (symbol, new))] if op == "*" else [one[1], (self.all, (symbol, new))]
+                    # Repetition recurs on the left: one stack node for all of it, so long lists take linear time.
+                    self.rules[new] = one if op == "?" else [one[op == "+"], (self.all, (new, symbol))]
                     symbol = new
                 seq.append(symbol)
             out.append((mask, tuple(seq)))

@@ -74,7 +74,7 @@ factor : PLUS factor | - factor | ~ factor | power
 power : primary ( POW factor )? | @1 await primary ( POW factor )?
 primary : atom trailer*
 trailer : . name | LP args? RP | LP gen RP | [ slices ]
-atom : name | @1 True | @1 False | None | @2 True | @2 False | NUM | @2 NUM2 | strings | @1 ... | LP RP | LP yield_ RP | LP named RP | LP star_named , RP | LP star_named ( , star_named )+ ,? RP | LP gen RP | [ ] | [ star_named ( , star_named )* ,? ] | [ gen ] | { } | { pair ( , pair )* ,? } | { pair comp+ } | { star_named ( , star_named )* ,? } | { gen } | @2 ` expr ( , expr )* `
+atom : name | @1 True | @1 False | None | @2 True | @2 False | NUM | @2 NUM2 | strings | @1 ... | LP RP | LP yield_ RP | LP named RP | LP star_named , RP | LP star_named ( , star_named )+ ,? RP | LP gen RP | [ ] | [ star_named ( , star_named )* ,? ] | [ gen ] | { } | { pair ( , pair )* ,? } | { expr : expr comp+ } | { star_named ( , star_named )* ,? } | { gen } | @2 ` expr ( , expr )* `
 pair : @1 POW bitor | expr : expr
 gen : named comp+
 comp : for star_targets in disj ( if disj )* | @1 async for star_targets in disj ( if disj )*
@@ -442,10 +442,13 @@ _line_memo: dict[str, tuple[tuple[str, int], ...]] = {}
 _group_memo: dict[str, tuple[int, int]] = {}
 _depth_memo: dict[str, int] = {}
 _MEMO_MAX = 500_000
+_RUN = re.compile(f"({_KINDS[',']}[{_NAME}{_NUM}{_STR}{_BYTES}]|{_STR}|{_BYTES})\\1{{3,}}")
 
 
 def line_symbols(kinds: str) -> tuple[tuple[str, int], ...]:
     """What a logical line can be, as (symbol, dialects)."""
+    # No rule counts list elements, or strings in a row, beyond three: longer runs of like ones say no more.
+    kinds = _RUN.sub(r"\1\1\1", kinds)
     got = _line_memo.get(kinds)
     if got is not None:
         return got
