@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuskit.llm.arrow import small_batches
-from corpuskit.session import spread
+from corpuskit.session import cut_lineage, spread
 
 UNKNOWN, CONFLICT = "UNKNOWN", "CONFLICT"
 
@@ -377,6 +377,7 @@ class Licenses:
         folder = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise("")
         wanted = rows.filter(is_license | is_python).select("file_id", "repo_id", folder.alias("folder"), is_license.alias("is_license"), "content")
         read = spread(wanted).mapInArrow(_states, "file_id long, repo_id long, folder string, is_license boolean, stated string").distinct()
+        read = cut_lineage(read)  # what files state is looked at four times and holds no texts: they are read once
         self.read = read
         license_files = read.filter("is_license")
         keys = repos.filter("repo_id is not null").select("repo_id", _name_udf("license_key").alias("stated"))
