@@ -250,10 +250,10 @@ def q_greedy_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.greedy_survivors(items, cut_lineage(q_trigram_pairs(spark, d)), "doc_id", "score", "doc_id")
 
 
-@query(r"""WITH w AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
-i AS (SELECT item_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM eval_items),
-a AS (SELECT DISTINCT id, unnest([hash(w[k:k + 12]) for k in range(1, len(w) - 11)]) AS g FROM w WHERE len(w) > 12),
-b AS (SELECT DISTINCT id, unnest([hash(w[k:k + 12]) for k in range(1, len(w) - 11)]) AS g FROM i WHERE len(w) > 12)
+@query(r"""WITH w AS (SELECT doc_id AS id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS l FROM documents)),
+v AS (SELECT item_id AS id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS l FROM eval_items)),
+a AS (SELECT DISTINCT id, g FROM (SELECT id, list(x) OVER s AS g, count(*) OVER s AS n FROM w WINDOW s AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) WHERE n = 13),
+b AS (SELECT DISTINCT id, g FROM (SELECT id, list(x) OVER s AS g, count(*) OVER s AS n FROM v WINDOW s AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) WHERE n = 13)
 SELECT a.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM a JOIN b USING (g) GROUP BY 1, 2""")
 def q_contamination(spark: SparkSession, d: str) -> DataFrame:
     return governance.ngram_overlap(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "item_id", "text")
