@@ -373,7 +373,8 @@ class Licenses:
     def __init__(self, files: DataFrame, repos: DataFrame, manifest: DataFrame):
         rows = files.select("file_id", "repo_id", "path", "content")
         name = F.lower(F.element_at(F.split("path", "/"), -1))
-        is_license, is_python = name.rlike(_LICENSE_FILE), F.lower("path").endswith(".py")
+        is_python = name.endswith(".py")
+        is_license = name.rlike(_LICENSE_FILE) & ~is_python  # license.py is code
         folder = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise("")
         wanted = rows.filter(is_license | is_python).select("file_id", "repo_id", folder.alias("folder"), is_license.alias("is_license"), "content")
         read = spread(wanted).mapInArrow(_states, "file_id long, repo_id long, folder string, is_license boolean, stated string").distinct()

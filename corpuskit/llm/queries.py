@@ -139,11 +139,11 @@ ORACLE_SQL = {
     "p5_found": f"""WITH {_SIZES}
 SELECT mix_id, source, CASE WHEN need > max_repeats * size OR size = 0 THEN 'short' ELSE 'repeat' END AS status
 FROM n WHERE need > size""",
-    "p7_found": r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
-i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
-dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS g FROM d WHERE len(w) > 12),
-ig AS (SELECT DISTINCT item_id, g FROM (SELECT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS g FROM i WHERE len(w) > 12))
-SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+    "p7_found": r"""WITH w AS (SELECT doc_id AS id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS l FROM documents)),
+v AS (SELECT item_id AS id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS l FROM eval_items)),
+a AS (SELECT DISTINCT id, g FROM (SELECT id, list(x) OVER s AS g, count(*) OVER s AS n FROM w WINDOW s AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) WHERE n = 13),
+b AS (SELECT DISTINCT id, g FROM (SELECT id, list(x) OVER s AS g, count(*) OVER s AS n FROM v WINDOW s AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) WHERE n = 13)
+SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM a JOIN b USING (g)""",
     "p2_found": r"""WITH r AS (SELECT DISTINCT record_id, regexp_replace(lower(code), '[^\p{L}\p{N}\s]', '', 'g') AS x
            FROM python_tutorial_code WHERE length(code) >= 200),
 g AS (SELECT record_id, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda k: x[k:k + 2]))) AS t FROM r WHERE length(x) > 2),

@@ -247,12 +247,12 @@ def test_license_of_files_and_repositories(spark):
     files = [
         (1, 1, "LICENSE", mit), (2, 1, "a.py", "x"), (3, 1, "b.py", gpl), (4, 1, "v/COPYING.txt", "Licence: ISC\n"), (5, 1, "v/w/c.py", "x"), (5, 1, "v/w/c.py", "x"), (6, 1, "v/d.py", gpl),
         (7, 2, "e.py", "x"), (8, 2, "f.PY", "# License: MIT\n"), (9, 3, "license.md", "TODO"), (10, 3, "g.py", None), (11, 4, "h.py", "# License: MIT\n"), (12, 5, "lib/LICENSE", "see the web"), (13, 5, "lib/i.py", "x"),
-        (14, 99, "j.py", gpl), (15, 5, None, "x"), (16, 4, "README.md", "# License: ISC"),
+        (14, 99, "j.py", gpl), (15, 5, None, "x"), (16, 4, "README.md", "# License: ISC"), (17, 2, "license.py", "x"),
     ]
     f = spark.createDataFrame(files, "file_id long, repo_id long, path string, content string").withColumn("license", F.lit("clash"))
     r = spark.createDataFrame([(1, "mit"), (2, "other"), (3, None), (4, "MIT"), (5, "Apache-2.0")], "repo_id long, license_key string")
     m = spark.createDataFrame([(1, None), (2, "UNKNOWN"), (4, "GPL-2.0-only"), (5, "MIT OR Apache-2.0"), (5, "MIT OR Apache-2.0")], "repo_id long, license string")
     got = {(x.item_kind, x.item_id): x.license for x in licenses.Licenses(f, r, m).found().collect()}
     assert {k[1]: v for k, v in got.items() if k[0] == "repo"} == {1: "MIT", 2: "UNKNOWN", 3: "UNKNOWN", 4: "CONFLICT", 5: "CONFLICT"}
-    assert {k[1]: v for k, v in got.items() if k[0] == "file"} == {2: "MIT", 3: "CONFLICT", 5: "ISC", 6: "CONFLICT", 7: "UNKNOWN", 8: "MIT", 10: "UNKNOWN", 11: "MIT", 13: "UNKNOWN", 14: "GPL-3.0"}
+    assert {k[1]: v for k, v in got.items() if k[0] == "file"} == {2: "MIT", 3: "CONFLICT", 5: "ISC", 6: "CONFLICT", 7: "UNKNOWN", 8: "MIT", 10: "UNKNOWN", 11: "MIT", 13: "UNKNOWN", 14: "GPL-3.0", 17: "UNKNOWN"}
     assert licenses.Licenses(f.limit(0), r.limit(0), m.limit(0)).found().count() == 0
