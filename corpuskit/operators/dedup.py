@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.functions.similarity import hamming, with_trigrams
+from corpuskit.functions.similarity import with_trigrams
 from corpuskit.operators.components import connected_components
 
 
@@ -48,25 +50,57 @@ def provenance(df: DataFrame, hash_col: str, source_col: str, acquired_col: str,
     return out.select("content_hash", "kept_source", F.array_except("sources", F.array("kept_source")).alias("discarded_sources"), "acquisition_timestamps", "n_records")
 
 
+#: Pairs of fingerprints that are compared at once.
+_BLOCK = 1 << 21
+
+
 def simhash_pairs(df: DataFrame, id_col: str, hash_col: str, max_distance: int = 9, bands: int = 10) -> DataFrame:
     """id_a < id_b of records whose fingerprints differ in max_distance bits at most; bands > max_distance make it exact.
 
-    Equal fingerprints are joined once (a fingerprint stands for all its records); the pairs of records come last.
+    Records that agree in a band meet in one task, sorted, and are compared in blocks; a pair is emitted in the first band
+    that it agrees in, so pairs, of which there can be far more than records, are never shuffled.
     """
     if bands <= max_distance:
         raise ValueError("more bands than differing bits are needed")
-    rows = df.select(F.col(id_col).alias("id"), F.col(hash_col).alias("h")).filter("id is not null and h is not null").distinct()
-    prints = rows.select("h").distinct()
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(hash_col).alias("h")).filter("id is not null and h is not null").distinct()
     edges = [i * 64 // bands for i in range(bands + 1)]
     cuts = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("h", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("v")) for i, (lo, hi) in enumerate(zip(edges, edges[1:]))])
-    banded = prints.select("h", F.explode(cuts).alias("b")).select("h", "b.band", "b.v")
-    one, two = banded.withColumnRenamed("h", "a"), banded.withColumnRenamed("h", "b")
-    near = one.join(two, ["band", "v"]).filter((F.col("a") < F.col("b")) & (hamming("a", "b") <= max_distance)).select("a", "b").distinct()
-    left, right = rows.select(F.col("h").alias("a"), F.col("id").alias("x")), rows.select(F.col("h").alias("b"), F.col("id").alias("y"))
-    apart = near.join(left, "a").join(right, "b").select("x", "y", hamming("a", "b").alias("distance"))
-    same = left.join(right, F.col("a") == F.col("b")).filter("x < y").select("x", "y", F.lit(0).alias("distance"))
-    both = apart.unionByName(same)
-    return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), F.col("distance").cast("long").alias("distance"))
+    banded = rows.select("id", "h", F.explode(cuts).alias("b")).select("id", "h", "b.band", "b.v")
+    masks = [np.uint64(((1 << (hi - lo)) - 1) << lo) for lo, hi in zip(edges, edges[1:])]
+
+    def near(band: int, ids: np.ndarray, prints: np.ndarray):
+        for at in range(0, len(ids), step := max(1, _BLOCK // len(ids))):
+            x = prints[at : at + step, None] ^ prints[None, at:]
+            i, j = np.nonzero(np.bitwise_count(x) <= max_distance)
+            i, j = i[i < j], j[i < j]
+            differ = x[i, j]
+            first = np.ones(len(i), bool)
+            for mask in masks[:band]:
+                first &= (differ & mask) != 0
+            i, j, differ = i[first] + at, j[first] + at, differ[first]
+            for k in range(0, len(i), 1 << 16):
+                one, two = ids[i[k : k + (1 << 16)]], ids[j[k : k + (1 << 16)]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(np.bitwise_count(differ[k : k + (1 << 16)]).astype(np.int64))], ["id_a", "id_b", "distance"])
+
+    def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        key = None
+        for batch in batches:
+            band, v, ids, prints = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "v", "id", "h"))
+            cut = np.flatnonzero((band[1:] != band[:-1]) | (v[1:] != v[:-1])) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(ids)]):
+                if lo == hi:
+                    continue
+                if (band[lo], v[lo]) != key:
+                    if held:
+                        yield from near(key[0], *map(np.concatenate, zip(*held)))
+                    held, key = [], (band[lo], v[lo])
+                held.append((ids[lo:hi], prints[lo:hi].view(np.uint64)))
+        if held:
+            yield from near(key[0], *map(np.concatenate, zip(*held)))
+
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism * 4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return banded.repartition(tasks, "band", "v").sortWithinPartitions("band", "v").mapInArrow(run, "id_a long, id_b long, distance long")
 
 
 def trigram_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
