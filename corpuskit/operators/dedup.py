@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.functions.similarity import with_trigrams
+from corpuskit.functions.similarity import trigram_text, with_trigrams
 from corpuskit.operators.components import connected_components
+from corpuskit.session import cut_lineage, spread
 
 
 def first_seen(df: DataFrame, keys: list[str], order: list[str], flag: str | None = None) -> DataFrame:
@@ -54,6 +59,31 @@ def provenance(df: DataFrame, hash_col: str, source_col: str, acquired_col: str,
 _BLOCK = 1 << 21
 
 
+def _tasks(df: DataFrame) -> int:
+    """Shuffle partitions of pair comparisons, whose work isn't told by their bytes."""
+    return max(df.sparkSession.sparkContext.defaultParallelism * 4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _groups(batches, keys: list[str], cols: list[str]):
+    """Key and columns of each run of rows with one key; batches are sorted by the keys."""
+    held: list[list[np.ndarray]] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, c = ([batch.column(n).to_numpy(zero_copy_only=False) for n in names] for names in (keys, cols))
+        cut = np.flatnonzero(np.any([x[1:] != x[:-1] for x in k], axis=0)) + 1
+        for lo, hi in zip([0, *cut], [*cut, batch.num_rows]):
+            own = tuple(int(x[lo]) for x in k)
+            if own != key:
+                if held:
+                    yield key, [np.concatenate(x) for x in zip(*held)]
+                held, key = [], own
+            held.append([x[lo:hi] for x in c])
+    if held:
+        yield key, [np.concatenate(x) for x in zip(*held)]
+
+
 def simhash_pairs(df: DataFrame, id_col: str, hash_col: str, max_distance: int = 9, bands: int = 10) -> DataFrame:
     """id_a < id_b of records whose fingerprints differ in max_distance bits at most; bands > max_distance make it exact.
 
@@ -83,24 +113,10 @@ def simhash_pairs(df: DataFrame, id_col: str, hash_col: str, max_distance: int =
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(np.bitwise_count(differ[k : k + (1 << 16)]).astype(np.int64))], ["id_a", "id_b", "distance"])
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        key = None
-        for batch in batches:
-            band, v, ids, prints = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "v", "id", "h"))
-            cut = np.flatnonzero((band[1:] != band[:-1]) | (v[1:] != v[:-1])) + 1
-            for lo, hi in zip([0, *cut], [*cut, len(ids)]):
-                if lo == hi:
-                    continue
-                if (band[lo], v[lo]) != key:
-                    if held:
-                        yield from near(key[0], *map(np.concatenate, zip(*held)))
-                    held, key = [], (band[lo], v[lo])
-                held.append((ids[lo:hi], prints[lo:hi].view(np.uint64)))
-        if held:
-            yield from near(key[0], *map(np.concatenate, zip(*held)))
-
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism * 4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return banded.repartition(tasks, "band", "v").sortWithinPartitions("band", "v").mapInArrow(run, "id_a long, id_b long, distance long")
+        for (band, _), (ids, prints) in _groups(batches, ["band", "v"], ["id", "h"]):
+            yield from near(band, ids, prints.view(np.uint64))
+
+    return banded.repartition(_tasks(df), "band", "v").sortWithinPartitions("band", "v").mapInArrow(run, "id_a long, id_b long, distance long")
 
 
 def trigram_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
@@ -132,6 +148,129 @@ def trigram_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float =
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity").filter("id_a < id_b").distinct()
 
 
+def _codes(text: str) -> np.ndarray:
+    """The trigrams of a normalised text as sorted numbers, each once."""
+    c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    return np.unique(c[:-2] | c[1:-1] << 21 | c[2:] << 42)
+
+
+def _bits(n: int) -> int:
+    """Bits of the sketch of a set of n trigrams."""
+    return max(512, 1 << (max(1, n // 2) - 1).bit_length())
+
+
+def _sketch(codes: np.ndarray, bits: int) -> bytes:
+    """The parity of the trigrams in each of ``bits`` places; two sketches differ in no more bits than their sets in trigrams."""
+    place = (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40) & np.uint64(bits - 1)
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def text_classes(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
+    """id, class (the least id with the same trigram set), n (trigrams), and the set's sketch; texts without trigrams have no row."""
+    step = _size_step(threshold)
+    rows = df.select(F.col(id_col).cast("long").alias("id"), trigram_text(text_col).alias("t")).filter("id is not null and length(t) >= 3")
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for t in batch.column("t").to_pylist():
+                codes = _codes(t)
+                # as wide as the next size's sketches, with which it is compared
+                out.append((hashlib.blake2b(codes.tobytes(), digest_size=16).digest(), len(codes), _sketch(codes, _bits(int(len(codes) * step * step) + 1))))
+            key, n, sketch = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(sketch, pa.binary())], ["id", "k", "n", "sketch"])
+
+    keyed = cut_lineage(spread(rows).mapInArrow(run, "id long, k binary, n long, sketch binary").dropDuplicates(["id", "k"]))
+    firsts = keyed.groupBy("k").agg(F.min("id").alias("class"))
+    return cut_lineage(keyed.join(firsts, "k").select("id", "class", "n", "sketch"))
+
+
+def _size_step(threshold: float) -> float:
+    """Sizes are grouped by powers of this; similar sets are of one group or of two neighbours."""
+    return 1.001 / threshold
+
+
+def class_pairs(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
+    """id_a < id_b (classes) and similarity of different trigram sets whose Jaccard similarity is above the threshold. Exact.
+
+    For whole texts, whose rare trigrams are not rare enough for a prefix filter. All sets of like sizes are compared by
+    their sketches, whose difference is a lower bound of that of the sets; what is left is verified on the texts. Only
+    texts that have such a link travel.
+    """
+    sets = classes.filter("id = class").select(F.col("class").alias("id"), "n", "sketch")
+    slices = min(64, max(4, sets.count() // 16384))
+    share, step = (1 - threshold) / (1 + threshold), _size_step(threshold)
+    group = F.floor(F.log("n") / F.lit(math.log(step))).cast("int")
+    every = F.sequence(F.lit(0), F.lit(slices - 1))
+    own = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")
+    # role 0: compared with all of its group (1) and of the group below (2)
+    roles = F.concat(
+        F.array(F.struct(group.alias("g"), own.alias("s"), F.lit(0).alias("role"))),
+        F.transform(every, lambda s: F.struct(group.alias("g"), s.alias("s"), F.lit(1).alias("role"))),
+        F.transform(every, lambda s: F.struct((group + 1).alias("g"), s.alias("s"), F.lit(2).alias("role"))),
+    )
+    sent = sets.select("id", "n", "sketch", F.explode(roles).alias("r")).select("r.g", "r.s", "r.role", "id", "n", "sketch")
+
+    def links(batches):
+        for _, (role, ids, n, sketch) in _groups(batches, ["g", "s"], ["role", "id", "n", "sketch"]):
+            mine = role == 0
+            if not mine.any():
+                continue
+            words = min(len(x) for x in sketch) // 8
+            bits = np.empty((words, len(ids)), np.uint64)
+            for i, x in enumerate(sketch):
+                bits[:, i] = np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, words), axis=0)
+            left, right = np.flatnonzero(mine), np.flatnonzero(~mine)
+            other = bits[:, right]
+            for at in range(0, len(left), size := max(1, (_BLOCK >> 2) // max(1, len(right)))):
+                part = left[at : at + size]
+                most = ((n[part][:, None] + n[right][None, :]) * share).astype(np.float32) + np.float32(0.01)
+                differ = np.zeros(most.shape, np.uint16)
+                first = words * 3 // 4
+                for w in range(first):
+                    differ += np.bitwise_count(bits[w, part][:, None] ^ other[w][None, :])
+                i, j = np.nonzero(differ <= most)
+                a, b = part[i], right[j]
+                keep = (np.minimum(n[a], n[b]) > np.maximum(n[a], n[b]) * threshold) & ((role[b] == 2) | (ids[a] < ids[b]))
+                i, j, a, b = i[keep], j[keep], a[keep], b[keep]
+                for lo in range(0, len(a), 1 << 16):
+                    x, y = a[lo : lo + (1 << 16)], b[lo : lo + (1 << 16)]
+                    total = np.bitwise_count(bits[:, x] ^ bits[:, y]).sum(axis=0, dtype=np.int64)
+                    near = total <= (n[x] + n[y]) * share
+                    one, two = ids[x[near]], ids[y[near]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["id_a", "id_b"])
+
+    near = cut_lineage(sent.repartition(_tasks(df), "g", "s").sortWithinPartitions("g", "s").mapInArrow(links, "id_a long, id_b long"))
+    linked = near.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).join(linked, "id", "left_semi").withColumn("t", trigram_text("t")).filter("length(t) >= 3").dropDuplicates(["id"])
+    both = near.join(texts.withColumnsRenamed({"id": "id_a", "t": "ta"}), "id_a").join(texts.withColumnsRenamed({"id": "id_b", "t": "tb"}), "id_b")
+
+    def verify(batches):
+        codes = lru_cache(256)(_codes)
+        for batch in batches:
+            scores = []
+            for ta, tb in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
+                x, y = codes(ta), codes(tb)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                scores.append(common / (len(x) + len(y) - common))
+            yield pa.RecordBatch.from_arrays([batch.column("id_a"), batch.column("id_b"), pa.array(scores, pa.float64())], ["id_a", "id_b", "similarity"])
+
+    return both.select("id_a", "id_b", "ta", "tb").mapInArrow(verify, "id_a long, id_b long, similarity double").filter(F.col("similarity") > threshold)
+
+
+def with_copies(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of classes and pairs within a class as pairs of records."""
+    left, right = classes.select(F.col("class").alias("id_a"), F.col("id").alias("x")), classes.select(F.col("class").alias("id_b"), F.col("id").alias("y"))
+    apart = pairs.join(left, "id_a").join(right, "id_b").select("x", "y", "similarity")
+    same = left.join(right, F.col("id_a") == F.col("id_b")).filter("x < y").select("x", "y", F.lit(1.0).alias("similarity"))
+    return apart.unionByName(same).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
+
+
+def class_edges(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges with the components of with_copies: each copy is tied to its class alone."""
+    return pairs.select("id_a", "id_b").unionByName(classes.filter("id <> class").select(F.col("class").alias("id_a"), F.col("id").alias("id_b")))
+
+
 def near_clusters(df: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
     """id and cluster (least id of the component) of every record; records without a partner are their own cluster."""
     labels = connected_components(pairs, "id_a", "id_b")
@@ -147,37 +286,38 @@ def near_duplicate_status(clusters: DataFrame, records: DataFrame, id_col: str,
     return out.select("id", "cluster", F.when(F.col("id") != F.col("cluster"), status).alias("near_duplicate_status"))
 
 
-def greedy_survivors(records: DataFrame, pairs: DataFrame, id_col: str, score_col: str, order_col: str) -> DataFrame:
+def greedy_survivors(records: DataFrame, pairs: DataFrame, id_col: str, score_col: str, order_col: str, classes: DataFrame | None = None) -> DataFrame:
     """Ids kept by the sequential rule: in order of arrival, a record like one that is kept replaces the first such one if
     its score is higher, else it is dropped.
 
     Only similar records act on each other, so each connected component is replayed by itself, with its pairs. A
-    component is one task's input: texts are not in it, ids and scores only.
+    component is one task's input: texts are not in it, ids and scores only. With ``classes`` (id and class), records of
+    one class are alike and the pairs are those of classes.
     """
-    labels = connected_components(pairs, "id_a", "id_b")
+    labels = connected_components(pairs if classes is None else class_edges(pairs, classes), "id_a", "id_b")
     rows = records.select(F.col(id_col).cast("long").alias("id"), F.col(score_col).cast("double").alias("score"), F.col(order_col).cast("long").alias("place"))
-    tied = rows.join(labels, rows.id == labels.node).select("component", "id", "score", "place")
+    own = rows.withColumn("class", F.col("id")) if classes is None else rows.join(classes.select("id", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
+    tied = own.join(labels, own.id == labels.node).select("component", "id", "score", "place", "class")
     edges = pairs.join(labels, pairs.id_a == labels.node).select("component", F.col("id_a").cast("long").alias("id"), F.col("id_b").cast("long").alias("other"))
-    both = tied.select("component", "id", "score", "place", F.lit(None).cast("long").alias("other")).unionByName(
+    both = tied.select("component", "id", "score", "place", F.col("class").alias("other")).unionByName(
         edges.select("component", "id", F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("place"), "other")
     )
 
     def replay(part: pd.DataFrame) -> pd.DataFrame:
         near: dict[int, set[int]] = {}
-        for a, b in part.loc[part["other"].notna(), ["id", "other"]].itertuples(index=False):
+        for a, b in part.loc[part["place"].isna(), ["id", "other"]].itertuples(index=False):
             near.setdefault(int(a), set()).add(int(b))
             near.setdefault(int(b), set()).add(int(a))
         own = part[part["place"].notna()].sort_values("place")
-        score = {int(i): (0.0 if s != s else float(s)) for i, s in zip(own["id"], own["score"])}
-        kept: dict[int, None] = {}
-        for i in map(int, own["id"]):
-            hit = next((k for k in kept if k in near.get(i, ())), None)
-            if hit is None:
-                kept[i] = None
-            elif score[i] > score[hit]:
-                del kept[hit]
-                kept[i] = None
-        return pd.DataFrame({"id": list(kept)}, dtype="int64")
+        kept: dict[int, tuple[int, int, float]] = {}  # class -> turn, id, score; a class has one kept record at most
+        for turn, (i, c, score) in enumerate(own[["id", "other", "score"]].itertuples(index=False)):
+            score = 0.0 if score != score else float(score)
+            hit = min((kept[k] + (k,) for k in (*near.get(int(c), ()), int(c)) if k in kept), default=None)
+            if hit is None or score > hit[2]:
+                if hit is not None:
+                    del kept[hit[3]]
+                kept[int(c)] = (turn, int(i), score)
+        return pd.DataFrame({"id": [i for _, i, _ in kept.values()]}, dtype="int64")
 
     survivors = both.groupBy("component").applyInPandas(replay, "id long")
     alone = rows.join(labels, rows.id == labels.node, "left_anti").select("id")

@@ -244,17 +244,32 @@ def q_trigram_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dedup.trigram_pairs(table(spark, d, "documents"), "doc_id", "url", 0.85)
 
 
+def _text_pairs(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes of whole texts, and the classes."""
+    classes = dedup.text_classes(items, "doc_id", "text")
+    return dedup.class_pairs(items, classes, "doc_id", "text"), classes
+
+
+@query()
+def q_text_trigram_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of the near-duplicate operator over whole texts (q_trigram_pairs is over the short column url)."""
+    pairs, classes = _text_pairs(table(spark, d, "documents"))
+    return dedup.with_copies(pairs, classes)
+
+
 @query()
 def q_near_clusters(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "documents")
-    clusters = dedup.near_clusters(items, cut_lineage(q_trigram_pairs(spark, d)), "doc_id")
+    pairs, classes = _text_pairs(items)
+    clusters = dedup.near_clusters(items, dedup.class_edges(cut_lineage(pairs), classes), "doc_id")
     return dedup.near_duplicate_status(clusters, items, "doc_id", "source")
 
 
 @query()
 def q_greedy_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "documents").withColumn("score", F.col("n_chars"))
-    return dedup.greedy_survivors(items, cut_lineage(q_trigram_pairs(spark, d)), "doc_id", "score", "doc_id")
+    pairs, classes = _text_pairs(items)
+    return dedup.greedy_survivors(items, cut_lineage(pairs), "doc_id", "score", "doc_id", classes)
 
 
 @query(r"""WITH w AS (SELECT doc_id AS id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS l FROM documents)),
