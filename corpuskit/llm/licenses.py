@@ -5,6 +5,10 @@ indexed by length; each length has a metric tree under token edit distance, whic
 visits only the children that the triangle inequality leaves open, and the nearest template is accepted if its
 distance is within a bound that grows with its length, and no template of another meaning is as near.
 
+The standard license bodies and headers are templates too, looked for at every place of every text, with a name or
+without one, within a tenth of their length; the nearest decides. A text that begins with the title of a whole license
+text is that license.
+
 A text is read whole: every place that names a license is looked up with the words around it. Only where the nearest
 sentence template is one that states a license, the text states it; elsewhere it is mentioned. Two names that are a
 free choice (``MIT OR Apache-2.0``) state that choice.
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuskit.llm.arrow import small_batches
+from corpuskit.llm.license_texts import BODIES, TITLES
 from corpuskit.session import cut_lineage, spread
 
 UNKNOWN, CONFLICT = "UNKNOWN", "CONFLICT"
@@ -273,10 +278,83 @@ def stated_name(text: str | None) -> str | None:
     return None
 
 
+_PLAIN = re.compile(r"[^\W\d_]+|\d+(?:\.\d+)*")
+_SEED = 4  # words
+
+
+def _plain(text: str) -> list[str]:
+    return [_SAME.get(w, w) for w in _PLAIN.findall(text.lower())]
+
+
+@lru_cache(maxsize=1)
+def _bodies():
+    """Templates (license, masks, length, bound) and the seeds that find them.
+
+    A template cut into bound + 1 parts has one unchanged part in every text within the bound; the first words of the parts
+    are the seeds.
+    """
+    templates, seeds = [], {}
+    for license_, body in BODIES:
+        words = _plain(body)
+        bound = len(words) // 10
+        for i in range(bound + 1):
+            at = i * len(words) // (bound + 1)
+            seeds.setdefault(tuple(words[at : at + _SEED]), set()).add(len(templates))
+        templates.append((license_, masks(words), len(words), bound))
+    return templates, seeds, [(license_, _plain(t)) for license_, t in TITLES]
+
+
+def nearest_places(pattern: dict[str, int], length: int, tokens, bound: int) -> list[tuple[int, int]]:
+    """Ends of runs of the tokens that lie within the bound of the pattern, and their distances: as ``distance``, with a free start."""
+    full, top, score = (1 << length) - 1, 1 << (length - 1), length
+    plus, minus, out = full, 0, []
+    for end, t in enumerate(tokens):
+        eq = pattern.get(t, 0)
+        vertical = eq | minus
+        horizontal = (((eq & plus) + plus) ^ plus) | eq
+        up = minus | (full & ~(horizontal | plus))
+        down = plus & horizontal
+        score += 1 if up & top else -1 if down & top else 0
+        up = up << 1 & full
+        down = down << 1 & full
+        plus = down | (full & ~(vertical | up))
+        minus = up & vertical
+        if score <= bound:
+            out.append((end, score))
+    return out
+
+
+def _bodies_in(text: str) -> tuple[set[str], bool]:
+    """Licenses whose body or header a text has, and whether it is a whole license text."""
+    words = _plain(text)
+    templates, seeds, titles = _bodies()
+    for license_, title in titles:
+        if words[: len(title)] == title:
+            return ({license_} if license_ else set()), True
+    grams = zip(words, words[1:], words[2:], words[3:])
+    near = set().union(*(seeds[g] for g in seeds.keys() & set(grams)))
+    places = []
+    for k in near:
+        license_, pattern, length, bound = templates[k]
+        for end, d in nearest_places(pattern, length, words, bound):
+            places.append((d / length, -length, end - length, end, license_))
+    # The nearest template has its place; others that overlap it are variants of it.
+    taken, found = [], set()
+    for _, _, start, end, license_ in sorted(places, key=lambda x: x[:4]):
+        if all(end <= a or start >= b for a, b in taken):
+            taken.append((start, end))
+            if license_:
+                found.add(license_)
+    return found, False
+
+
 def stated_license(text: str | None) -> str | None:
     """The license a text states for itself: None if it states none, CONFLICT for different ones."""
     if not text:
         return None
+    stated, whole = _bodies_in(text)
+    if whole:
+        return next(iter(stated), None)
     low = text.lower()
     spans: list[list[int]] = []
     for m in _ANCHOR.finditer(low):
@@ -287,7 +365,6 @@ def stated_license(text: str | None) -> str | None:
             spans[-1][1] = b
         else:
             spans.append([a, b])
-    stated = set()
     for a, b in spans:
         stated |= _stated_in(low[a:b])
     if not stated:

@@ -71,3 +71,18 @@ def test_what_the_exact_parsers_reject_is_found(spark, tmp_path):
     save(spark.createDataFrame([(7, "s", "x = 1")], "record_id long, source string, code string"), tmp_path, "python_tutorial_code")
     got = {r.item_id for r in __spark_entry__.queries()["p1_found"](spark, str(tmp_path)).collect()}
     assert got == set(range(len(broken)))
+
+
+def test_license_bodies_without_a_name():
+    from corpuskit.llm import license_texts, licenses
+
+    def put(text, mark="# "):
+        return "".join(f"{mark}{line}\n" for line in ("Copyright (c) 2020 A. Person\n\n" + text).splitlines()) + "\nimport os\n"
+
+    for license_, body in license_texts.BODIES:
+        if license_ or "Apache" not in body:
+            assert licenses.stated_license(put(body)) == license_, (license_, body[:60])
+            assert licenses.stated_license(put(body.replace("the", "teh", 2), " * ")) == license_, (license_, body[:60])
+    for license_, title in license_texts.TITLES:
+        assert licenses.stated_license(f"   {title}\n\nunlike the GNU Affero General Public License, version 3\n") == license_
+    assert licenses.stated_license("permission to use this is granted to anyone\n" * 30) is None
