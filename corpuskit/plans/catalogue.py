@@ -587,14 +587,15 @@ def q_syntax_by_repo(spark: SparkSession, d: str) -> DataFrame:
     return repos.syntax_by_repo(python_source.with_validation(rows, "content", measures=False))
 
 
-@query()
+@query("""SELECT event_type, count(*) AS n, max(ts) AS last_first FROM (SELECT event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1) GROUP BY 1""")
 def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The events as a stream: the first event of each id within the watermark, counted by hour and type."""
+    """The events as a stream: the first of each user and type, whatever comes late, counted by type."""
     import uuid
 
     ensure_checkpoint_dir(spark)
     at = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
-    events = table(spark, d, "events")
-    stream = jobs.stream_files(spark, f"{d}/events.parquet*", events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    jobs.run_available(jobs.deduplicated(stream, ["event_id"], "ts", "1 hour"), f"{at}/rows", f"{at}/checkpoint")
-    return spark.read.parquet(f"{at}/rows").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_ids"))
+    events = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
+    stream = jobs.stream_files(spark, f"{d}/events.parquet*", events.schema)
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    jobs.run_batches(stream, jobs.first_rows_table(f"{at}/rows", keys, order), f"{at}/checkpoint")
+    return jobs.read_firsts(spark, f"{at}/rows", keys, order).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_first"))

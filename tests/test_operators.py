@@ -1,5 +1,7 @@
 import io
+import os
 import random
+import shutil
 import tarfile
 import zipfile
 
@@ -215,12 +217,48 @@ def test_two_phase_commit(spark, tmp_path):
         w.commit(spark.range(3), "u")
 
 
-def test_streams(spark, tmp_path):
+def arriving(spark, at, files):
+    """Parquet files of a folder that the stream takes in the order given."""
+    for n, data in enumerate(files):
+        spark.createDataFrame(data, "k int, t string, s string").withColumn("t", F.col("t").cast("timestamp")).coalesce(1).write.parquet(f"{at}/new")
+        os.makedirs(f"{at}/in", exist_ok=True)
+        part = next(p for p in os.listdir(f"{at}/new") if p.endswith(".parquet"))
+        os.rename(f"{at}/new/{part}", f"{at}/in/{n}.parquet")
+        os.utime(f"{at}/in/{n}.parquet", (1_700_000_000 + n, 1_700_000_000 + n))
+        shutil.rmtree(f"{at}/new")
+    return spark.read.parquet(f"{at}/in").schema
+
+
+EARLY = [(1, "2024-01-01 00:00:00", "A"), (1, "2024-01-01 00:00:05", "B"), (None, "2024-01-01 00:00:01", "N")]
+LATE = [(2, "2024-01-01 00:10:00", "A"), (1, "2024-01-01 00:09:00", "C"), (None, "2024-01-01 00:00:01", "N")]
+
+
+@pytest.mark.parametrize("order", [(EARLY, LATE), (LATE, EARLY), (EARLY[:1], LATE, EARLY[1:])])
+def test_firsts_and_latest_of_streams_in_any_order(spark, tmp_path, order):
     at = str(tmp_path)
-    spark.createDataFrame([(1, "2024-01-01 00:00:00", "A"), (1, "2024-01-01 00:00:05", "B"), (2, "2024-01-01 00:10:00", "A")], "k int, t string, s string").withColumn("t", F.col("t").cast("timestamp")).write.parquet(f"{at}/in")
-    schema = spark.read.parquet(f"{at}/in").schema
-    stream = jobs.stream_files(spark, f"{at}/in", schema, 1)
-    jobs.run_available(jobs.deduplicated(stream, ["k"], "t", "1 minute"), f"{at}/out", f"{at}/cp")
-    assert spark.read.parquet(f"{at}/out").count() == 2
+    schema = arriving(spark, at, order)
+    for _ in range(2):  # the second run finds nothing new
+        jobs.run_batches(jobs.stream_files(spark, f"{at}/in", schema, 1), jobs.first_rows_table(f"{at}/firsts", ["k"], ["t"]), f"{at}/cp")
+    assert rows(jobs.read_firsts(spark, f"{at}/firsts", ["k"], ["t"]), "k", "s") == [(1, "A"), (2, "A"), (None, "N")]
     jobs.run_batches(jobs.stream_files(spark, f"{at}/in", schema), jobs.latest_state_table(f"{at}/states", "k", "t"), f"{at}/cp2")
-    assert rows(jobs.read_states(spark, f"{at}/states", "k", "t"), "k", "s") == [(1, "B"), (2, "A")]
+    assert rows(jobs.read_states(spark, f"{at}/states", "k", "t"), "k", "s") == [(1, "C"), (2, "A"), (None, "N")]
+
+
+def test_stream_within_a_watermark(spark, tmp_path):
+    at = str(tmp_path)
+    schema = arriving(spark, at, [EARLY[:2], LATE[:1], EARLY[:1]])
+    jobs.run_available(jobs.deduplicated(jobs.stream_files(spark, f"{at}/in", schema, 1), ["k"], "t", "1 minute"), f"{at}/out", f"{at}/cp")
+    assert rows(spark.read.parquet(f"{at}/out"), "k") == [(1,), (2,)]
+
+
+def test_batches_stop_and_go_on(spark, tmp_path):
+    at = str(tmp_path)
+    schema = arriving(spark, at, [EARLY, LATE, EARLY])
+    done = []
+    step = lambda batch, n: done.append((n, batch.count()))
+    stream = lambda: jobs.stream_files(spark, f"{at}/in", schema, 1)
+    assert not jobs.run_batches(stream(), step, f"{at}/cp", may_go_on=lambda: len(done) < 2) and len(done) == 2
+    assert not jobs.run_batches(stream(), step, f"{at}/cp", seconds=-1) and len(done) == 2
+    assert jobs.run_batches(stream(), step, f"{at}/cp", seconds=600) and done == [(0, 3), (1, 3), (2, 3)]
+    left = jobs.unfinished(spark.createDataFrame([("a",), ("b",), (None,)], "path string"), spark.createDataFrame([("a",), (None,)], "path string"), "path")
+    assert rows(left) == [("b",), (None,)]
