@@ -1,9 +1,9 @@
 """Source files that do not parse (problem 1).
 
-Method: generalised LL parsing with a graph-structured stack (``gll``), all dialects of a language in one parse. Every
-text is also put to the exact parser of the language (Python's own ``ast.parse``, ``json``, ``tomllib``, expat), which
-decides: the grammars doubt some texts that it accepts, and accept some that it rejects (TOML tables defined twice, XML
-character references). The grammars tell which other dialects accept a text.
+Method: generalised LL parsing with a graph-structured stack (``gll``), all dialects of a language in one parse. A text
+is a case where every supported dialect's grammar rejects it; nothing else decides. What the exact parser of the language
+(Python's own ``ast.parse``, ``json``, ``tomllib``, expat) has against a rejected text is its ``error``; a text that this
+parser takes all the same is ``disputed``, which ``rates`` counts.
 
 For Python the supported dialect is 3.13; ``dialects`` tells which of the known ones accept a text, so files of an older
 one can be told from broken ones. Defined results: null, empty and blank texts are no cases and have no verdict; files
@@ -65,7 +65,7 @@ def accepted(language: str, text: str) -> int:
 
 
 def verdicts(df: DataFrame, keys: list[str], language_col: str, text_col: str) -> DataFrame:
-    """keys, language, parses, dialects (names that accept), error: one row for each row with a text and a language."""
+    """keys, language, parses, dialects (names that accept), error, disputed: one row for each row with a text and a language."""
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     rows = df.select(*keys, F.col(language_col).alias("_language"), F.col(text_col).alias("_text"))
     rows = rows.filter(F.col("_language").isin(*LANGUAGES.values()) & F.col("_text").isNotNull() & F.col("_text").rlike(r"\S"))
@@ -73,22 +73,20 @@ def verdicts(df: DataFrame, keys: list[str], language_col: str, text_col: str) -
     def run(batches):
         for batch in small_batches(batches, "_text"):
             languages, texts = batch.column("_language").to_pylist(), batch.column("_text").to_pylist()
-            parses, names, errors = [], [], []
+            parses, names, errors, disputed = [], [], [], []
             for language, text in zip(languages, texts):
-                # The exact parser decides for the supported dialect, whatever the grammar says.
-                mask, error = accepted(language, text), exact_error(language, text)
-                if mask & 1 and error in ("RecursionError", "MemoryError"):
-                    error = None  # a limit of the parser says nothing about the text
-                mask = mask & ~1 | (error is None)
+                mask = accepted(language, text)
+                error = None if mask & 1 else exact_error(language, text)
                 parses.append(bool(mask & 1))
                 errors.append(error)
+                disputed.append(not mask & 1 and error is None)
                 names.append([n for i, n in enumerate(python.DIALECTS) if mask >> i & 1] if language == "python" else [language] * bool(mask & 1))
+            verdict = [pa.array(parses), pa.array(names, pa.list_(pa.string())), pa.array(errors, pa.string()), pa.array(disputed)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keys), batch.column("_language"), pa.array(parses), pa.array(names, pa.list_(pa.string())), pa.array(errors, pa.string())],
-                [*keys, "language", "parses", "dialects", "error"],
+                [*(batch.column(k) for k in keys), batch.column("_language"), *verdict], [*keys, "language", "parses", "dialects", "error", "disputed"]
             )
 
-    return spread(rows).mapInArrow(run, f"{schema}, language string, parses boolean, dialects array<string>, error string")
+    return spread(rows).mapInArrow(run, f"{schema}, language string, parses boolean, dialects array<string>, error string, disputed boolean")
 
 
 def file_language(path_col: str = "path"):
@@ -109,11 +107,12 @@ def corpus_verdicts(code: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def rates(found: DataFrame) -> DataFrame:
-    """Items, rejected items and their share by item_table, origin and language."""
+    """Items, rejected items, their share, and those of them that the exact parser takes, by item_table, origin and language."""
     return found.groupBy("item_table", "origin", "language").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sum(F.when(F.col("parses"), 0).otherwise(1)).alias("n_rejected"),
         F.avg(F.when(F.col("parses"), 0.0).otherwise(1.0)).alias("rejected_rate"),
+        F.count_if("disputed").alias("n_disputed"),
     )
 
 

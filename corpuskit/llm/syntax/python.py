@@ -23,13 +23,13 @@ _HARD = [*keyword.kwlist]
 _SOFT = ["match", "case", "type", "print", "exec"]
 _OPS = "** **= // //= >> >>= << <<= != <> -> := ... + += - -= * *= / /= % %= & &= | |= ^ ^= @ @= < <= > >= = == ~ ( ) [ ] { } , : ; . `".split()
 _KINDS = {w: chr(0xE000 + i) for i, w in enumerate([*_HARD, *_SOFT, *_OPS])}
-_NAME, _NUM, _NUM2, _STR, _BYTES, _BAD = "n", "0", "o", "s", "b", "?"
+_NAME, _NUM, _NUM2, _IMAG, _STR, _BYTES, _BAD = "n", "0", "o", "j", "s", "b", "?"
 _FOPEN, _FCLOSE, _LB, _RB, _BANG = "F", "f", "<", ">", "!"
 _OPEN, _SHUT = {_KINDS[x] for x in "([{"}, {_KINDS[x] for x in ")]}"}
 #: symbols that EBNF needs for itself, by name
 _ALIAS = {"(": "LP", ")": "RP", "|": "BAR", "*": "STAR", "+": "PLUS", "@": "AT", "**": "POW"}
 TERMINALS = {_ALIAS.get(w, w): k for w, k in _KINDS.items()}
-TERMINALS |= {"NAME": _NAME, "NUM": _NUM, "NUM2": _NUM2, "STR": _STR, "BYTES": _BYTES, "FOPEN": _FOPEN, "FCLOSE": _FCLOSE, "LB": _LB, "RB": _RB, "BANG": _BANG}
+TERMINALS |= {"NAME": _NAME, "NUM": _NUM, "NUM2": _NUM2, "IMAG": _IMAG, "STR": _STR, "BYTES": _BYTES, "FOPEN": _FOPEN, "FCLOSE": _FCLOSE, "LB": _LB, "RB": _RB, "BANG": _BANG}
 
 LINES = """
 simple_line : simple ( ; simple )* ;?
@@ -74,7 +74,7 @@ factor : PLUS factor | - factor | ~ factor | power
 power : primary ( POW factor )? | @1 await primary ( POW factor )?
 primary : atom trailer*
 trailer : . name | LP args? RP | LP gen RP | [ slices ]
-atom : name | @1 True | @1 False | None | @2 True | @2 False | NUM | @2 NUM2 | strings | @1 ... | LP RP | LP yield_ RP | LP named RP | LP star_named , RP | LP star_named ( , star_named )+ ,? RP | LP gen RP | [ ] | [ star_named ( , star_named )* ,? ] | [ gen ] | { } | { pair ( , pair )* ,? } | { expr : expr comp+ } | { star_named ( , star_named )* ,? } | { gen } | @2 ` expr ( , expr )* `
+atom : name | @1 True | @1 False | None | @2 True | @2 False | NUM | IMAG | @2 NUM2 | strings | @1 ... | LP RP | LP yield_ RP | LP named RP | LP star_named , RP | LP star_named ( , star_named )+ ,? RP | LP gen RP | [ ] | [ star_named ( , star_named )* ,? ] | [ gen ] | { } | { pair ( , pair )* ,? } | { expr : expr comp+ } | { star_named ( , star_named )* ,? } | { gen } | @2 ` expr ( , expr )* `
 pair : @1 POW bitor | expr : expr
 gen : named comp+
 comp : for star_targets in disj ( if disj )* | @1 async for star_targets in disj ( if disj )*
@@ -150,7 +150,7 @@ open_seq : may_star , ( may_star ( , may_star )* ,? )?
 may_star : STAR name | pattern
 pattern : closed ( BAR closed )* ( as name )?
 closed : None | True | False | strings | number | name | name_attr | LP pattern RP | LP open_seq? RP | [ ( may_star ( , may_star )* ,? )? ] | { } | { map_items ,? } | name_or_attr LP RP | name_or_attr LP class_args ,? RP
-number : -? NUM | -? NUM PLUS NUM | -? NUM - NUM
+number : -? NUM | -? IMAG | -? NUM PLUS IMAG | -? NUM - IMAG
 name_attr : name . name ( . name )*
 name_or_attr : name | name_attr
 map_items : map_item ( , map_item )* ( , POW name )? | POW name
@@ -285,6 +285,8 @@ class _Kinds(dict):
                 return _BAD
             if token[-1] in "lL":
                 return _NUM2
+            if token[-1] in "jJ" and token[:2] not in ("0x", "0X"):
+                return _IMAG
             old = token[0] == "0" and token.replace("_", "").isdigit() and token.strip("0_")
             return _NUM2 if old else _NUM
         last = token[-1]
