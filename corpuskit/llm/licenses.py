@@ -1,17 +1,18 @@
 """License of each code file and repository (problem 3).
 
-Method: templates of license names and of sentences that state (or merely mention) a license are token sequences,
-indexed by length; each length has a metric tree under token edit distance, which is computed bit-parallel. A query
-visits only the children that the triangle inequality leaves open, and the nearest template is accepted if its
-distance is within a bound that grows with its length, and no template of another meaning is as near.
+Method: templates of license names and of phrases that state a license are token sequences, indexed by length; each
+length has a metric tree under token edit distance, which is computed bit-parallel. A query visits only the children that
+the triangle inequality leaves open, and the nearest template is accepted if its distance is within a bound that grows
+with its length, and (for names) no template of another license is as near.
 
 The standard license bodies and headers are templates too, looked for at every place of every text, with a name or
 without one, within a tenth of their length; the nearest decides. A text that begins with the title of a whole license
 text is that license.
 
-A text is read whole: every place that names a license is looked up with the words around it. Only where the nearest
-sentence template is one that states a license, the text states it; elsewhere it is mentioned. Two names that are a
-free choice (``MIT OR Apache-2.0``) state that choice.
+A text is read whole: every place that names a license is looked up with the words around it, and a phrase that states
+it counts unless the words before it in its part of the sentence deny it (``DENYING``): a negation, a contrast, the past, a
+doubt, or other works that it speaks of. Other places mention the license only. Two names that are a free choice (``MIT OR
+Apache-2.0``) state that choice.
 
 Defined results: null, empty and blank texts state nothing; repeated rows of a file count once; files of a repository
 that is no candidate have their own and their directories' licenses, or UNKNOWN; null paths are no .py files; several
@@ -50,22 +51,27 @@ NAMES = {
     "ISC": ["isc", "isc license"],
     "Unlicense": ["unlicense"],
 }
-#: Sentences that state the license L; P is any name. Bars are line ends.
+#: Ways to say that something comes under a license; L is its name, bars are line ends.
+_VERBS = "licensed released distributed redistributed published provided offered shared supplied issued available used relicensed".split()
+_TERMS = ["", "the terms of ", "the terms and conditions of ", "the conditions of ", "either of ", "the following license : "]
 STATING = [
-    "spdx license identifier L", "license : L", "licence : L", "licence L |", "license L |", "__license__ = L",
-    "licensed under L", "licensed under the terms of L", "distributed under L", "distributed under the terms of L", "released under L",
-    "this file is released under L", "this file is licensed under L", "this program is licensed under L", "offered to you under L",
-    "you may use this module under the terms of L", "P is made available under L", "P is given to you under L", "all of P is covered by L",
-    "P is licensed under L", "P is released under L", "P is distributed under L", "P may be used under L", "this release and all later ones are under L",
-    "est distribué sous la licence suivante L", "est distribué sous licence L", "steht unter folgender lizenz L", "steht unter der lizenz L",
-    "| L |", "dual licensed choose one L", "dual licensed under L", "licensed under either of L", "covered by L unless a file says something else",
-]
-#: Sentences that only mention it.
-MENTIONING = [
-    "was offered under L", "unlike works under L", "rejects packages that come under L", "packages that come under L", "todo ask whether L would suit us",
-    "ask whether L", "names such as L", "maps names such as L", "such as L or", "allowed licenses = L", "is not under L", "not licensed under L",
-    "compatible with L", "formerly under L", "no longer under L", "previously released under L", "in text lower or L in text lower", "or L in text",
+    *(f"{v} under {t}L" for v in _VERBS for t in _TERMS), *(f"{v} to you under {t}L" for v in ("licensed", "offered", "given", "provided") for t in _TERMS[:2]),
+    *(f"{v} {t}L" for v in ("covered by", "governed by", "subject to", "is under", "are under") for t in _TERMS[:3]), *(f"{p} {t}L" for p in ("under", "according to") for t in _TERMS[1:3]),
+    "license : L", "license = L", "license is L", "license L |", "spdx license identifier : L", "spdx license identifier L", "__license__ = L", "__license__ : L", "| L |", "dual licensed L", "dual licensed choose one : L",
+    "sous license L", "sous la license L", "sous la license suivante : L", "sous les termes de la license L",
+    "steht unter L", "steht unter der L", "unter der lizenz L", "unter folgender lizenz : L", "lizenziert unter L", "lizenziert unter der L",
+    "bajo la licencia L", "bajo licencia L", "sob a licença L", "sotto la licenza L",
 ]
+#: Words before such a phrase, in its part of the sentence, that make it no statement about the text itself: it is denied,
+#: past, doubted, or about other works.
+DENYING = set(
+    "not no never cannot nor neither without unlike than instead opposed contrary nothing none nicht kein keine pas nunca "
+    "isn aren wasn weren doesn don won couldn shouldn wouldn ain "
+    "was were had formerly previously once until before originally earlier past "
+    "whether if should would could might ask todo fixme consider perhaps maybe question unclear "
+    "packages projects dependencies libraries works repositories components assets programs things others some parts portions bundled vendored third upstream "
+    "reject rejects rejected accept accepts accepted allow allows allowed forbidden denied detect detects match matches find finds maps names such example compatible incompatible requires depends".split()
+)
 
 _TOKEN = re.compile(r"__license__|[^\W\d_]+(?:[-_][\w.\-]*\w)?|\d+(?:\.\d+)*|[:=+\n]")
 _ANCHOR = re.compile(r"\b(?:mit|apache2?|bsd|[al]?gpl(?:v\d)?|mpl(?:v\d)?|mozilla|isc|unlicense|gnu|affero|expat|asl)\b")
@@ -169,12 +175,11 @@ def _indexes():
         for v in variants:
             names.add(v.split(), license_)
     shapes = set()
-    for value, templates in (("states", STATING), ("mentions", MENTIONING)):
-        for t in templates:
-            tokens = t.split()
-            at = tokens.index("L")
-            shapes.add((at, len(tokens) - at - 1))
-            sentences.add(tokens, value)
+    for t in STATING:
+        tokens = t.split()
+        at = tokens.index("L")
+        shapes.add((at, len(tokens) - at - 1))
+        sentences.add(tokens, t)
     return names, sentences, sorted(shapes)
 
 
@@ -197,23 +202,58 @@ def _words(text: str) -> list[str]:
     return [w[:-1] if w in ("gplv", "lgplv", "agplv", "mplv") else w for w in out]
 
 
-def _stream(text: str):
-    """Tokens of a text with line ends as bars, license names still apart."""
-    tokens = []
-    for m in _TOKEN.finditer(text.lower()):
+def _stream(text: str, places: list | None = None, asked: set[tuple[int, int]] | None = None):
+    """Tokens of a text with line ends as bars, license names still apart.
+
+    ``places`` gets the (line, sentence, part of it) of each token. A sentence ends with its mark, and with a line after
+    which another kind of line follows: an empty one, code after a comment and the like. ``asked`` gets the lines and sentences that
+    end by asking.
+    """
+    tokens, low = [], text.lower()
+    line = sentence = part = end = 0
+    for m in _TOKEN.finditer(low):
         t = m.group()
+        if places is not None:
+            for mark in _MARK.finditer(low, end, m.start() + 1):
+                if mark.group() in ",:()":
+                    part += 1
+                elif mark.end() >= len(low) or low[mark.end()] in " \t\r\n\"'*)":
+                    if mark.group() == "?":
+                        asked.add((line, sentence))
+                    sentence += 1
+            end = m.end()
+        had = len(tokens)
         if t == "\n":
             if not tokens or tokens[-1] != "|":
                 tokens.append("|")
+            if places is not None:
+                if not _goes_on(low, m.start()):
+                    sentence += 1
+                line += 1
         elif t == "__license__" or t in ":=+":
             tokens.append(t)
         else:
             parts = _words(t)
             # hyphened names are one token unless they are words of license names
             tokens += parts if all(p in _NAME_WORDS or p.isalpha() and p in ("spdx", "identifier", "clause", "clauses") or p[0].isdigit() for p in parts) else [t]
+        if places is not None:
+            places += [(line, sentence, part)] * (len(tokens) - had)
     return tokens
 
 
+_ARTICLES = ("the", "a", "an")
+_MARK = re.compile(r"[.!?;,:()]")
+_COMMENT = re.compile(r"[ \t]*(#|//|/?\*|;|--|%|\.\.|rem\b)?[#/*;%!\- \t]*([^\n]*)")
+
+
+def _goes_on(low: str, at: int) -> bool:
+    """Whether a sentence can go on behind the line end at ``at``: both lines are prose of one kind, neither is empty."""
+    one, two = _COMMENT.match(low, low.rfind("\n", 0, at) + 1), _COMMENT.match(low, at + 1)
+    if not one.group(2).strip() or not two.group(2).strip() or one.group(1) != two.group(1):
+        return False
+    return bool(one.group(1)) or not re.search(r"[=(){}\[\]]", one.group(2) + two.group(2))
+
+
 def _names(tokens: list[str]) -> list[tuple[int, int, str]]:
     """Places (start, stop, license) of license names in a token stream; the longest name at each place."""
     out, i = [], 0
@@ -375,17 +415,23 @@ def stated_license(text: str | None) -> str | None:
 def _stated_in(low: str) -> set[str]:
     """The licenses stated by some whole lines of a text."""
     shapes = _indexes()[2]
-    tokens = ["|", *_stream(low), "|"]
+    places: list[tuple[int, int, int]] = []
+    asked: set[tuple[int, int]] = set()
+    tokens = ["|", *_stream(low, places, asked), "|"]
     found = _names(tokens)
     if not found:
         return set()
+    places = [(-1, -1, -1), *places, (-2, -2, -2)]
     # The names become single tokens; names joined by 'or', or listed below each other, become one choice.
-    out, at, k = [], 0, 0
+    out, where, at, k = [], [], 0, 0
     while k < len(found):
         a, b, license_ = found[k]
         out += tokens[at:a]
-        if out and out[-1] == "the":
-            out.pop()
+        where += places[at:a]
+        if out[-1:] == ["|"] and out[-2:-1] and out[-2] in _ARTICLES:
+            del out[-2], where[-2]
+        elif out and out[-1] in _ARTICLES:
+            del out[-1], where[-1]
         many = [license_]
         while k + 1 < len(found):
             gap = [t for t in tokens[b : found[k + 1][0]] if t not in ("|", "the")]
@@ -396,34 +442,60 @@ def _stated_in(low: str) -> set[str]:
             b = found[k][1]
             many.append(found[k][2])
         out.append((_choice(many),))
+        where.append(places[a])
         at = b
         k += 1
     out += tokens[at:]
+    where += places[at:]
     stated = set()
     for i, t in enumerate(out):
-        if not isinstance(t, tuple):
+        if not isinstance(t, tuple) or t[0] in stated:
             continue
-        best, values = 99, set()
+        best, starts = 99, set()
         for before, after in shapes:
             for lines in (True, False):  # with line ends, and as one run of words
-                left = [x for x in out[max(0, i - before * 3 - 3) : i] if lines or x != "|"]
-                right = [x for x in out[i + 1 : i + 1 + after * 3 + 3] if lines or x != "|"]
-                left, right = left[len(left) - before :] if before <= len(left) else left, right[:after]
+                left = [k for k in range(max(0, i - before * 3 - 3), i) if lines or out[k] != "|"]
+                right = [k for k in range(i + 1, min(len(out), i + 1 + after * 3 + 3)) if lines or out[k] != "|"]
+                left, right = left[max(0, len(left) - before) :], right[:after]
                 if len(left) != before or len(right) != after:
                     continue
-                window = tuple("L" if isinstance(x, tuple) else x for x in (*left, "L", *right))
-                d, got = _nearest(1, window, 0 if len(window) <= 3 else 1 if len(window) <= 7 else 2)
-                if not got:
+                window = tuple("L" if isinstance(out[k], tuple) else out[k] for k in (*left, i, *right))
+                if not _CORE & set(window):
                     continue
-                # a longer template at the same distance says more
-                rank = d * 10 - len(window)
-                if rank < best:
-                    best, values = rank, got
-        if values == {"states"}:
+                d, got = _nearest(1, window, 0 if len(window) <= 4 else 1 if len(window) <= 7 else 2)
+                if got and d <= best:
+                    if d < best:
+                        best, starts = d, set()
+                    starts.add((left[0] if left else i, any(x in y for y in got for x in ("license :", "=", "|", "spdx", "__"))))
+        # Where several phrases fit equally well, any that is denied denies all.
+        if starts and not any(_denied(out, where, asked, i, start, label) for start, label in starts):
             stated.add(t[0])
     return stated
 
 
+_CORE = {w for t in STATING for w in t.split()} - {"L", "the", "of", "is", "are", "to", "you", "la", "a", "der", "de", "les", "terms", "conditions", "and", "one", "either", "following", "suivante", "folgender"}
+
+
+def _denied(out: list, where: list, asked: set[tuple[int, int]], at: int, start: int, label: bool) -> bool:
+    """Whether words of the phrase from ``start``, or before it in its part of the sentence, deny that it states a license.
+
+    A label counts with its line alone. A short part before a comma ("Until then, ...") belongs to the next one.
+    """
+    line, sentence, _ = where[start]
+    if not label and where[at][:2] in asked:
+        return True
+    parts: list[list[int]] = [[]]
+    for k in range(start - 1, -1, -1):
+        if where[k][0] != line if label else where[k][1] != sentence:
+            break
+        if where[k][2] != where[parts[-1][-1] if parts[-1] else start][2]:
+            parts.append([])
+        parts[-1].append(k)
+    used = [*parts[0], *(parts[1] if label or len(parts) > 1 and len(parts[1]) <= 3 else [])] if len(parts) > 1 else parts[0]
+    said = [out[k] for k in sorted((*used, *range(start, at))) if isinstance(out[k], str) and out[k] != "|"]
+    return not DENYING.isdisjoint(said) or ("used", "to") in zip(said, said[1:])
+
+
 _LICENSE_FILE = r"^(?:licen[sc]e|copying)(?:\.[^/]*)?$"
 
 
