@@ -9,7 +9,7 @@ from corpuskit.functions import metrics, python_source, similarity, text
 from corpuskit.operators import dedup, governance, packages, qa, quality, repos, texts
 from corpuskit.sources import readers
 from corpuskit.streaming import jobs
-from corpuskit.session import cut_lineage, ensure_checkpoint_dir, spread, table
+from corpuskit.session import cut_lineage, shared_path, spread, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -590,10 +590,7 @@ def q_syntax_by_repo(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT event_type, count(*) AS n, max(ts) AS last_first FROM (SELECT event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1) GROUP BY 1""")
 def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """The events as a stream: the first of each user and type, whatever comes late, counted by type."""
-    import uuid
-
-    ensure_checkpoint_dir(spark)
-    at = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    at = shared_path(spark, "stream")
     events = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
     stream = jobs.stream_files(spark, f"{d}/events.parquet*", events.schema)
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]

@@ -81,8 +81,10 @@ def test_components(spark):
 
 
 def test_joins_by_size(spark):
+    named = spark.createDataFrame([("x" * 1000,), (None,)], "k string")
+    assert joins._small(named, 2000) and not joins._small(named, 1000) and joins._small(named.limit(0), 0)
     df, keys = spark.range(10), spark.createDataFrame([(1,), (1,), (3,), (None,)], "id long")
-    for most in (0, 100):
+    for most in (0, 1000):
         assert rows(joins.semi_join(df, keys, ["id"], most)) == [(1,), (3,)] and joins.anti_join(df, keys, ["id"], most).count() == 8
 
 
