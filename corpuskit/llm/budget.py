@@ -1,28 +1,32 @@
 """Token budget per source, language and domain (problem 4).
 
-Method: a count table keyed by content and tokenizer hash. Only contents that are not in it yet are encoded (each at
-most once in a partition of the input, however often it repeats), and cubes of totals are updated through signed
-deltas: rows that came add, rows that went or changed subtract, so removed documents leave no trace.
+Method: a count table keyed by content and tokenizer hash, kept in a folder (``TokenBudget``) beside the membership and the
+cube of the last update. An update encodes only contents that the table lacks (each at most once in a partition of the
+input, however often it repeats), and brings the cube up to date through signed deltas: rows that came add, rows that went
+or changed subtract, so removed documents leave no trace. Texts travel only where unseen contents are too many to
+broadcast their hashes.
 
 Names are counted as one without case and outer white space; a language loses its region suffix. Defined results:
-null and empty texts have 0 tokens; null names form a group of their own; repeated rows of one item and content count
-once, and an item delivered with two contents counts as two; empty tables give empty cubes; other columns are not read.
+null and empty texts have 0 tokens; null names form a group of their own; of the rows of one item the one retrieved last
+counts (ties by content hash and names), and rows without an item id count once for each content; empty tables give empty
+cubes; other columns are not read.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.llm.arrow import small_batches
 from corpuskit.llm.bpe import BYTE_BPE_50K, TOKENIZER_DIR, load_bpe, tokenizer_hash
 from corpuskit.llm.mixing import source_name
-from corpuskit.operators.joins import anti_join
-from corpuskit.session import spread
+from corpuskit.operators.joins import anti_join, semi_join
+from corpuskit.session import cut_lineage, spread
 
 DIMENSIONS = ["item_table", "source", "lang", "domain"]
 _KEY = ["item_table", "item_id", "content_hash"]
+_NAMES = ["source", "lang", "domain"]
 
 
 def language_name(c: Column | str) -> Column:
@@ -30,8 +34,8 @@ def language_name(c: Column | str) -> Column:
     return F.regexp_replace(source_name(c), "[-_].*$", "")
 
 
-def items(df: DataFrame, item_table: str, id_col: str, text_col: str, source_col: str | None = None, lang_col: str | None = None, domain_col: str | None = None) -> DataFrame:
-    """item_table, item_id, content_hash, source, lang, domain, text; a null text counts as an empty one."""
+def items(df: DataFrame, item_table: str, id_col: str, text_col: str, source_col: str | None = None, lang_col: str | None = None, domain_col: str | None = None, time_col: str | None = None) -> DataFrame:
+    """item_table, item_id, content_hash, source, lang, domain, at, text; a null text counts as an empty one."""
     none = F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col), F.lit(""))
     return df.select(
@@ -41,13 +45,16 @@ def items(df: DataFrame, item_table: str, id_col: str, text_col: str, source_col
         (source_name(source_col) if source_col else none).alias("source"),
         (language_name(lang_col) if lang_col else none).alias("lang"),
         (source_name(domain_col) if domain_col else none).alias("domain"),
+        (F.col(time_col) if time_col else none).cast("timestamp").alias("at"),
         text.alias("text"),
     )
 
 
 def membership(rows: DataFrame) -> DataFrame:
-    """The items without their texts, each once."""
-    return rows.drop("text").dropDuplicates(_KEY)
+    """The items without their texts, each once, as they were retrieved last. Combined before the shuffle."""
+    last = F.max(F.struct("at", "content_hash", *_NAMES)).alias("r")
+    unnamed = F.when(F.col("item_id").isNull(), F.col("content_hash")).alias("k")
+    return rows.groupBy("item_table", "item_id", unnamed).agg(last).select("item_table", "item_id", "r.content_hash", *[f"r.{n}" for n in _NAMES])
 
 
 def count_tokens(rows: DataFrame, known: DataFrame | None = None, directory: str = TOKENIZER_DIR, name: str = BYTE_BPE_50K) -> DataFrame:
@@ -56,8 +63,8 @@ def count_tokens(rows: DataFrame, known: DataFrame | None = None, directory: str
     todo = rows.select("content_hash", "text")
     if known is not None:
         have = known.filter(F.col("tokenizer_hash") == of)
-        fresh = anti_join(todo.select("content_hash").distinct(), have, ["content_hash"])
-        todo = todo.join(fresh, "content_hash", "left_semi")
+        fresh = cut_lineage(anti_join(todo.select("content_hash").distinct(), have, ["content_hash"]))
+        todo = semi_join(todo, fresh, ["content_hash"])
 
     def run(batches):
         bpe = load_bpe(directory, name)
@@ -93,7 +100,7 @@ def _totals(rows: DataFrame) -> DataFrame:
 
 def cube_delta(old: DataFrame, new: DataFrame, counts: DataFrame) -> DataFrame:
     """Signed changes of the cube between two membership tables; rows in both cancel and are not joined at all."""
-    cols = [*_KEY, "source", "lang", "domain"]
+    cols = [*_KEY, *_NAMES]
     both = old.select(*cols, F.lit(-1).alias("sign")).unionByName(new.select(*cols, F.lit(1).alias("sign")))
     changed = both.groupBy(*cols).agg(F.sum("sign").alias("sign")).filter("sign <> 0")
     return _totals(changed.join(counts.select("content_hash", "n_tokens"), "content_hash"))
@@ -105,6 +112,46 @@ def apply_delta(totals: DataFrame, delta: DataFrame) -> DataFrame:
     return both.filter("n_items <> 0")
 
 
+class TokenBudget:
+    """The count table, the membership and the cube of a corpus in a folder, brought up to date by each ``update``.
+
+    A version of membership and cube is one folder; it counts once both are written. An update that is done again, after
+    a failure, writes the same version again; what it had counted before stays counted.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, directory: str = TOKENIZER_DIR, name: str = BYTE_BPE_50K):
+        self.spark, self.path, self.directory, self.name, self.version = spark, path.rstrip("/"), directory, name, 0
+
+    def _read(self, what: str, of: DataFrame) -> DataFrame:
+        """A table of the last version; before the first one an empty table like ``of``."""
+        at = f"{self.path}/{what}"
+        return self.spark.read.parquet(at if what == "counts" else f"{at}/{self.version}") if self.version else of.limit(0)
+
+    @property
+    def counts(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/counts")
+
+    @property
+    def cube(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/cube/{self.version}")
+
+    def update(self, rows: DataFrame) -> DataFrame:
+        """Make ``rows`` (of ``items``) the corpus; returns its cube."""
+        known = self.counts if self.version else None
+        count_tokens(rows, known, self.directory, self.name).write.mode("append" if self.version else "overwrite").parquet(f"{self.path}/counts")
+        new = membership(rows)
+        old = self._read("members", new)
+        new.write.mode("overwrite").parquet(f"{self.path}/members/{self.version + 1}")
+        new = self.spark.read.parquet(f"{self.path}/members/{self.version + 1}")
+        of = tokenizer_hash(self.directory, self.name)
+        # A content counted twice, by an update done again, has one count.
+        counts = self.counts.filter(F.col("tokenizer_hash") == of).groupBy("content_hash").agg(F.max("n_tokens").alias("n_tokens"))
+        delta = cube_delta(old, new, counts)
+        apply_delta(self._read("cube", delta), delta).write.mode("overwrite").parquet(f"{self.path}/cube/{self.version + 1}")
+        self.version += 1
+        return self.cube
+
+
 def roll_up(totals: DataFrame) -> DataFrame:
     """Totals by each of source, language and domain, from the (small) cube: dimension, name, n_items, n_tokens."""
     parts = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm import budget, encode, leaks, licenses, mixing, neardup, split
 from corpuskit.llm.syntax import operator as syntax
-from corpuskit.session import table
+from corpuskit.session import shared_path, table
 
 
 def _verdicts(spark: SparkSession, d: str) -> DataFrame:
@@ -51,13 +51,36 @@ def p3_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:
-    docs = budget.items(table(spark, d, "documents"), "documents", "doc_id", "text", "source", "lang", "domain")
-    return docs.unionByName(budget.items(table(spark, d, "python_tutorial_code"), "python_tutorial_code", "record_id", "code", "source"))
+    docs = budget.items(table(spark, d, "documents"), "documents", "doc_id", "text", "source", "lang", "domain", "retrieved_at")
+    return docs.unionByName(budget.items(table(spark, d, "python_tutorial_code"), "python_tutorial_code", "record_id", "code", "source", time_col="retrieved_at"))
+
+
+def _share_of_time(rows: DataFrame, share: float):
+    """The moment at a share of the time over which rows were retrieved; null where none was."""
+    ends = rows.agg(F.min("at").cast("double").alias("a"), F.max("at").cast("double").alias("b")).first()
+    return F.lit(None).cast("timestamp") if ends.a is None else F.timestamp_seconds(F.lit(ends.a + share * (ends.b - ends.a)))
 
 
 def p4_token_cube(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus as it was when nine tenths of the time had passed, brought up to date with what came since."""
+    rows = _items(spark, d)
+    kept = budget.TokenBudget(spark, shared_path(spark, "budget"))
+    kept.update(rows.filter(F.coalesce(F.col("at") <= _share_of_time(rows, 0.9), F.lit(True))))
+    return kept.update(rows)
+
+
+def p4_cube_deltas(spark: SparkSession, d: str) -> DataFrame:
+    """The cube after rows came, went and came again, beside the cube from scratch; ``same`` in every row."""
     rows = _items(spark, d)
-    return budget.cube(budget.membership(rows), budget.count_tokens(rows))
+    kept = budget.TokenBudget(spark, shared_path(spark, "budget"))
+    late = F.coalesce(F.col("at") > _share_of_time(rows, 0.5), F.lit(False))
+    kept.update(rows.filter(~late))
+    kept.update(rows.filter(late))
+    after = kept.update(rows)
+    whole = budget.cube(budget.membership(rows), budget.count_tokens(rows)).withColumnsRenamed({"n_items": "n_items_anew", "n_tokens": "n_tokens_anew"})
+    both = after.alias("a").join(whole.alias("w"), [F.col(f"a.{c}").eqNullSafe(F.col(f"w.{c}")) for c in budget.DIMENSIONS], "full_outer")
+    same = F.col("n_items").eqNullSafe(F.col("n_items_anew")) & F.col("n_tokens").eqNullSafe(F.col("n_tokens_anew"))
+    return both.select(*[F.coalesce(f"a.{c}", f"w.{c}").alias(c) for c in budget.DIMENSIONS], "n_items", "n_tokens", "n_items_anew", "n_tokens_anew", same.alias("same"))
 
 
 def p4_item_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +141,7 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_rates, p1_against_recorded, p2_found, p2_groups, p3_found, p3_files, p4_token_cube, p4_item_tokens, p4_totals, p5_found, p5_plan, p5_sample, p5_shares,
+        p1_found, p1_rates, p1_against_recorded, p2_found, p2_groups, p3_found, p3_files, p4_token_cube, p4_cube_deltas, p4_item_tokens, p4_totals, p5_found, p5_plan, p5_sample, p5_shares,
         p6_ids, p7_found, p7_coverage, p8_found, p8_pieces,
     )
 }

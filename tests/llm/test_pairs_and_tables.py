@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import numpy as np
@@ -138,6 +139,26 @@ def test_counts_cubes_and_deltas(spark):
     assert budget.cube(budget.membership(empty), budget.count_tokens(empty)).count() == 0
 
 
+def test_a_budget_kept_in_a_folder(spark, tmp_path):
+    cols = "doc_id long, text string, source string, lang string, domain string, at timestamp, n_tokens string"
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    day1 = [(1, "one", "a", "en", "x", t(1), "clash"), (2, "two", "a", "en", "x", t(1), None), (3, "gone", "b", None, None, t(1), None), (None, "no id", "b", None, None, t(1), None)]
+    day2 = [*day1[:2], (1, "one again", "A ", "en-GB", "x", t(2), None), (2, "two", "late", "en", "x", t(0), None), (4, None, None, None, None, None, None), (None, "no id", "b", None, None, t(3), None), (None, "other", "b", None, None, None, None)]
+    make = lambda rows: budget.items(spark.createDataFrame(rows, cols), "d", "doc_id", "text", "source", "lang", "domain", "at")
+    n = load_bpe().count
+    kept = budget.TokenBudget(spark, f"{tmp_path}/budget")
+    got = lambda df: {(r.source, r.lang, r.domain): (r.n_items, r.n_tokens) for r in df.collect()}
+    assert got(kept.update(make(day1))) == {("a", "en", "x"): (2, n("one") + n("two")), ("b", None, None): (2, n("gone") + n("no id"))}
+    assert kept.counts.count() == 4
+    want = {("a", "en", "x"): (2, n("one again") + n("two")), ("b", None, None): (2, n("no id") + n("other")), (None, None, None): (1, 0)}
+    assert got(kept.update(make(day2))) == want
+    assert kept.counts.count() == 7  # 'one', 'two' and 'no id' were not encoded again
+    assert got(kept.update(make(day2))) == want and kept.counts.count() == 7
+    assert got(kept.update(make(day2).limit(0))) == {}
+    fresh = budget.TokenBudget(spark, f"{tmp_path}/none")
+    assert got(fresh.update(make(day1).limit(0))) == {} and got(fresh.update(make(day1))) != {}
+
+
 # ---- mixing ----
 
 
