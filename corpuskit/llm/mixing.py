@@ -44,8 +44,9 @@ def source_sizes(records: DataFrame, **cols) -> DataFrame:
 def plan_mix(sizes: DataFrame, requests: DataFrame, targets: DataFrame) -> DataFrame:
     """One row per mix and source: share, need, size, status, clamped, chars and epochs (chars over size).
 
-    status is 'short' if the need exceeds max_repeats times the size or the size is 0, 'repeat' if it exceeds the
-    size, else 'fits'. chars is what water-filling gives; a mix whose sources are all clamped stays below its total.
+    status is 'short' if the need exceeds max_repeats times the size (or the size is 0), which clamps the source at once,
+    'repeat' if it exceeds the size, else 'fits'. chars is what water-filling gives, rounded to a millionth; a mix whose
+    sources are all clamped stays below its total.
     """
     wanted = (
         targets.select("mix_id", source_name("source").alias("source"), F.when(F.col("target_weight") > 0, F.col("target_weight")).otherwise(0.0).alias("w"))
@@ -70,19 +71,28 @@ def plan_mix(sizes: DataFrame, requests: DataFrame, targets: DataFrame) -> DataF
     onward = order.rowsBetween(0, Window.unboundedFollowing)
     left = F.col("total_chars") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     rows = rows.withColumn("fair", F.when(F.sum("w").over(onward) > 0, left * F.col("w") / F.sum("w").over(onward)).otherwise(0.0))
-    # Clamped while the fair part of what is left exceeds the capacity; the first that fits ends the prefix.
-    rows = rows.withColumn("clamped", F.min(F.when(F.col("fair") > F.col("cap"), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)) == 1)
+    # Clamped while the fair part of what is left exceeds the capacity; the first that fits ends the prefix. What exceeds it
+    # by its own need does so by any larger part.
+    over = (F.col("fair") > F.col("cap")) | (F.col("need") > F.col("cap"))
+    rows = rows.withColumn("clamped", F.min(F.when(over, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)) == 1)
     free_w = F.sum(F.when(~F.col("clamped"), F.col("w")).otherwise(0.0)).over(mix)
     spent = F.sum(F.when(F.col("clamped"), F.col("cap")).otherwise(0.0)).over(mix)
     rows = rows.withColumn("chars", F.when(F.col("clamped"), F.col("cap")).when(free_w > 0, F.least("cap", (F.col("total_chars") - spent) * F.col("w") / free_w)).otherwise(0.0))
-    short = (F.col("need") > F.col("max_repeats") * F.col("size")) | ((F.col("size") == 0) & (F.col("need") > 0))
+    # A source is short if it is clamped by its own share already, before anything is redistributed to it.
+    short = F.col("clamped") & (F.col("need") > F.col("cap"))
     status = F.when(short, "short").when(F.col("need") > F.col("size"), "repeat").otherwise("fits")
+    rows = rows.withColumn("chars", F.round("chars", 6))
     return rows.select(
         "mix_id", "source", "share", "need", "size", "total_chars", "max_repeats", status.alias("status"), "clamped", "chars",
         F.when(F.col("size") > 0, F.col("chars") / F.col("size")).otherwise(0.0).alias("epochs"),
     )
 
 
+def _draw(seed: int) -> Column:
+    """A number of 60 bits for each mix and record, the same wherever it is drawn."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), "mix_id", "id").cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def sample_mix(records: DataFrame, plan: DataFrame, seed: int = 7, **cols) -> DataFrame:
     """mix_id, source, record_id, chars, repeats: how often each record enters each mix (rows with repeats > 0).
 
@@ -92,7 +102,7 @@ def sample_mix(records: DataFrame, plan: DataFrame, seed: int = 7, **cols) -> Da
     wanted = plan.filter("chars > 0").select(
         "mix_id", "source", F.floor("epochs").cast("int").alias("whole"), (F.col("chars") - F.floor("epochs") * F.col("size")).alias("rest")
     )
-    mixed = rows.join(wanted, "source").withColumn("u", F.xxhash64(F.lit(seed), "mix_id", "id")).withColumn("slot", F.pmod("u", F.lit(SLOTS)))
+    mixed = rows.join(wanted, "source").withColumn("u", _draw(seed)).withColumn("slot", F.pmod("u", F.lit(SLOTS)))
     per_slot = mixed.groupBy("mix_id", "source", "slot").agg(F.sum("chars").alias("c"))
     upto = Window.partitionBy("mix_id", "source").orderBy("slot")  # at most SLOTS rows a source
     slots = per_slot.withColumn("below", F.sum("c").over(upto) - F.col("c"))

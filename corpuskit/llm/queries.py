@@ -98,11 +98,12 @@ def _plan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return _plan(spark, d).filter("need > size").select("mix_id", "source", "status")
+    """The sources that water-filling clamps by their own share, and those that it has to repeat."""
+    return _plan(spark, d).filter("status <> 'fits'").select("mix_id", "source", "status")
 
 
 def p5_plan(spark: SparkSession, d: str) -> DataFrame:
-    return _plan(spark, d).select("mix_id", "source", "share", "size", "status", "clamped", "chars")
+    return _plan(spark, d).select("mix_id", "source", F.round("share", 9).alias("share"), "size", "status", "clamped", F.round("chars", 3).alias("chars"))
 
 
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +112,8 @@ def p5_sample(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_shares(spark: SparkSession, d: str) -> DataFrame:
     plan = _plan(spark, d)
-    return mixing.actual_shares(mixing.sample_mix(table(spark, d, "python_tutorial_code"), plan), plan)
+    rows = mixing.actual_shares(mixing.sample_mix(table(spark, d, "python_tutorial_code"), plan), plan)
+    return rows.withColumns({"planned_chars": F.round("planned_chars", 3)} | {c: F.round(c, 9) for c in ("target_share", "actual_share", "epochs")})
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -150,7 +152,7 @@ _EDGE = r"[\t-\r\x1c-\x1f \x{85}\x{a0}]+"
 _NAME = f"lower(regexp_replace(source, '^{_EDGE}|{_EDGE}$', '', 'g'))"
 
 _SIZES = f"""
-recs AS (SELECT DISTINCT record_id, {_NAME} AS source, length(code) AS chars
+recs AS (SELECT DISTINCT record_id, {_NAME} AS source, length(code)::BIGINT AS chars
          FROM python_tutorial_code WHERE retained AND code IS NOT NULL AND length(code) > 0 AND source IS NOT NULL),
 sizes AS (SELECT source, sum(chars) AS size FROM recs GROUP BY 1),
 t AS (SELECT mix_id, {_NAME} AS source, sum(target_weight) AS w FROM mix_targets GROUP BY 1, 2),
@@ -158,7 +160,25 @@ n AS (SELECT t.mix_id, t.source, w / sum(w) OVER (PARTITION BY t.mix_id) * total
       FROM t JOIN mix_requests USING (mix_id) LEFT JOIN sizes USING (source))
 """
 
+# The level of the water: source i is clamped if all of them, filled as far as i when it is full, hold less than the total.
+_FILLED = f"""{_SIZES}, m AS (SELECT *, size * max_repeats AS cap FROM (SELECT n.*, t.w, total_chars FROM n JOIN t USING (mix_id, source) JOIN mix_requests USING (mix_id, max_repeats))),
+c AS (SELECT a.mix_id, a.source, a.w > 0 AND sum(least(b.cap, CASE WHEN a.w > 0 THEN a.cap / a.w * b.w END)) < any_value(a.total_chars) AS clamped
+      FROM m a JOIN m b ON a.mix_id = b.mix_id GROUP BY a.mix_id, a.source, a.w),
+l AS (SELECT mix_id, any_value(total_chars) - coalesce(sum(cap) FILTER (clamped), 0) AS rest, sum(w) FILTER (NOT clamped) AS free FROM m JOIN c USING (mix_id, source) GROUP BY 1),
+f AS (SELECT mix_id, source, need / total_chars AS share, size, clamped, CASE WHEN need > max_repeats * size OR size = 0 AND need > 0 THEN 'short' WHEN need > size THEN 'repeat' ELSE 'fits' END AS status,
+      round(CASE WHEN clamped THEN cap WHEN free > 0 THEN least(cap, rest * w / free) ELSE 0 END, 6) AS chars FROM m JOIN c USING (mix_id, source) JOIN l USING (mix_id))"""
+_DRAWN = f"""{_FILLED}, o AS (SELECT mix_id, source, chars, size, CASE WHEN size > 0 THEN floor(chars / size)::BIGINT ELSE 0 END AS whole FROM f WHERE chars > 0),
+u AS (SELECT mix_id, o.source, record_id, recs.chars, whole, o.chars - whole * size AS rest, ('0x' || substr(md5('7|' || mix_id || '|' || record_id), 1, 15))::BIGINT AS u FROM o JOIN recs USING (source)),
+s AS (SELECT *, whole + CASE WHEN sum(chars) OVER (PARTITION BY mix_id, source ORDER BY u % 4096, u, record_id) <= rest THEN 1 ELSE 0 END AS repeats FROM u)"""
+
 ORACLE_SQL = {
+    "p5_plan": f"WITH {_FILLED} SELECT mix_id, source, round(share, 9) AS share, size, status, clamped, round(chars, 3) AS chars FROM f",
+    "p5_sample": f"WITH {_DRAWN} SELECT mix_id, source, record_id, chars, repeats::INTEGER AS repeats FROM s WHERE repeats > 0",
+    "p5_shares": f"""WITH {_DRAWN}, g AS (SELECT mix_id, source, sum(chars * repeats)::BIGINT AS actual, max(repeats)::INTEGER AS most FROM s WHERE repeats > 0 GROUP BY 1, 2),
+j AS (SELECT f.*, coalesce(actual, 0)::BIGINT AS actual_chars, coalesce(most, 0)::INTEGER AS most_repeats FROM f LEFT JOIN g USING (mix_id, source))
+SELECT mix_id, source, status, round(share, 9) AS target_share, round(chars, 3) AS planned_chars, actual_chars,
+ round(CASE WHEN sum(actual_chars) OVER w > 0 THEN actual_chars / sum(actual_chars) OVER w ELSE 0 END, 9) AS actual_share, most_repeats, round(CASE WHEN size > 0 THEN chars / size ELSE 0 END, 9) AS epochs
+FROM j WINDOW w AS (PARTITION BY mix_id)""",
     "p5_found": f"""WITH {_SIZES}
 SELECT mix_id, source, CASE WHEN need > max_repeats * size OR size = 0 THEN 'short' ELSE 'repeat' END AS status
 FROM n WHERE need > size""",
