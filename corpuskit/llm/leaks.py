@@ -1,22 +1,24 @@
 """Evaluation texts leaking into training text (problem 7).
 
-Method: greedy string tiling. Windows of ``min_words`` words of the evaluation items are hashed by a Karp-Rabin
-rolling hash; a document's words roll through the same hash and join these seeds. From the seeds the longest
-matches are grown, and again and again the longest non-overlapping match is marked in both texts until none of
-``min_words`` is left. The marked words, over the words of the item, are its coverage: reordered passages count
-as well as whole ones.
+Method: greedy string tiling. Windows of ``seed_words`` words of the evaluation items are hashed by a Karp-Rabin rolling
+hash; a document's words roll through the same hash and join these seeds. From the seeds the longest matches are grown,
+and again and again the longest non-overlapping match is marked in both texts until none of ``seed_words`` is left. The
+marked words, over the words of the item, are its coverage. A document holds an item if one match has ``min_words`` words,
+or if the coverage reaches ``min_coverage``, which also finds passages that were put in another order or cut up.
 
-The items are the stated query set: they are looked up in blocks of at most ``block_chars`` characters, each of
-which is broadcast; the documents are read once a block and not shuffled, and nothing is collected but the items.
+The items are the stated query set: they are looked up in blocks of at most ``block_chars`` characters, each of which is
+broadcast and indexed once in a worker; the documents are read once a block, and nothing is collected but the items. The
+documents are shuffled only where they are a small input of a few files (``session.spread``).
 
 Words are maximal runs of letters and digits, compared without regard to case. Defined results: null, empty and
-blank texts and items of fewer than ``min_words`` words match nothing; repeated rows of a document or an item give
+blank texts and items of fewer than ``seed_words`` words match nothing; repeated rows of a document or an item give
 one row; rows with a null id are left out; empty tables give an empty table; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_right
 
 import numpy as np
@@ -29,6 +31,7 @@ from corpuskit.llm.arrow import small_batches
 from corpuskit.session import spread
 
 MIN_WORDS = 13
+COVERAGE_SEED, MIN_COVERAGE = 5, 0.8
 BLOCK_CHARS = 16 << 20
 _WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x100000001B3)
@@ -162,6 +165,17 @@ def tile(matches: list[tuple[int, int, int]], min_words: int) -> list[tuple[int,
     return tiles
 
 
+_built: dict[str, Seeds] = {}
+
+
+def _index(key: str, items, seed_words: int) -> Seeds:
+    """The index of a block, built once in a worker; the one before it is let go."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = Seeds(items.value, seed_words)
+    return _built[key]
+
+
 _OUT = ["doc", "item", "tiles", "longest", "covered", "words"]
 
 
@@ -174,15 +188,21 @@ def find_leaks(
     item_text: str = "text",
     min_words: int = MIN_WORDS,
     block_chars: int = BLOCK_CHARS,
+    seed_words: int | None = None,
+    min_coverage: float | None = None,
 ) -> DataFrame:
-    """One row per document and item that share ``min_words`` consecutive words: doc_id, item_id, n_tiles,
-    longest_words, covered_words, item_words, coverage (share of the item's words that are marked)."""
+    """One row per document and item that share ``min_words`` consecutive words, or tiles of ``seed_words`` (by default
+    min_words) that cover ``min_coverage`` of the item: doc_id, item_id, n_tiles, longest_words, covered_words, item_words,
+    coverage (share of the item's words that are marked)."""
+    seed = min_words if seed_words is None else seed_words
+    if seed > min_words:
+        raise ValueError("seeds may not be longer than the matches asked for")
     spark = docs.sparkSession
     doc_type, item_type = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     kept = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).filter("i is not null and t is not null").distinct()
     size = kept.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_chars))
-    rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text_col).alias("text")).filter(f"id is not null and length(text) >= {2 * min_words - 1}"))
+    rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text_col).alias("text")).filter(f"id is not null and length(text) >= {2 * seed - 1}"))
     item_kind = to_arrow_type(items.schema[item_id].dataType)
     schema = f"doc {doc_type}, item {item_type}, tiles long, longest long, covered long, words long"
     out = None
@@ -190,8 +210,8 @@ def find_leaks(
         part = kept.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block) if blocks > 1 else kept
         seeds = spark.sparkContext.broadcast([(r.i, r.t) for r in part.collect()])
 
-        def run(batches, seeds=seeds):
-            index = Seeds(seeds.value, min_words)
+        def run(batches, seeds=seeds, key=uuid.uuid4().hex):
+            index = _index(key, seeds, seed)
             get = _WordIds(index.known).__getitem__
             for batch in small_batches(batches, "text"):
                 ids, cols = batch.column("id"), [[] for _ in range(6)]
@@ -201,10 +221,11 @@ def find_leaks(
                     # words of no item never match; each gets a number of its own
                     seq[seq < 0] = -2 - np.flatnonzero(seq < 0)
                     for item, runs in index.matches(seq).items():
-                        tiles = tile(runs, min_words)
-                        lengths = [t[0] for t in tiles]
-                        for col, v in zip(cols, (i, item, len(tiles), max(lengths), sum(lengths), len(index.words[item]))):
-                            col.append(v)
+                        lengths = [t[0] for t in tile(runs, seed)]
+                        longest, covered, n = max(lengths), sum(lengths), len(index.words[item])
+                        if longest >= min_words or (min_coverage is not None and covered >= min_coverage * n):
+                            for col, v in zip(cols, (i, item, len(lengths), longest, covered, n)):
+                                col.append(v)
                 item = pa.array([index.ids[k] for k in cols[1]], item_kind)
                 rest = [pa.array(c, pa.int64()) for c in cols[2:]]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(cols[0], pa.int64())), item, *rest], _OUT)

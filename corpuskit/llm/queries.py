@@ -120,16 +120,14 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(table(spark, d, "documents"))
 
 
-def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
-
-
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d).select("doc_id", "item_id")
+    return leaks.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
 
 def p7_coverage(spark: SparkSession, d: str) -> DataFrame:
-    return _leaks(spark, d)
+    """Documents that hold an item in one piece, or in pieces of five words and more that cover four fifths of it."""
+    docs, items = table(spark, d, "documents"), table(spark, d, "eval_items")
+    return leaks.find_leaks(docs, items, seed_words=leaks.COVERAGE_SEED, min_coverage=leaks.MIN_COVERAGE)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

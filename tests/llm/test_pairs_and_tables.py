@@ -113,6 +113,49 @@ def test_tiling_marks_reordered_passages_without_overlap():
     assert [t[0] for t in leaks.tile(seeds.matches(again)[0], 13)] == [20]
 
 
+def brute_tiles(doc, item, least):
+    """Greedy string tiling by trying every place: the sum of the tiles."""
+    one, two, covered = [False] * len(doc), [False] * len(item), 0
+    while True:
+        best = (0, 0, 0)
+        for p in range(len(doc)):
+            for q in range(len(item)):
+                n = 0
+                while p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n] and not one[p + n] and not two[q + n]:
+                    n += 1
+                best = max(best, (n, -p, -q))
+        n, p, q = best[0], -best[1], -best[2]
+        if n < least:
+            return covered
+        one[p : p + n], two[q : q + n] = [True] * n, [True] * n
+        covered += n
+
+
+def test_reordered_passages_are_found_by_their_coverage(spark):
+    rng = random.Random(9)
+    items = [(i, [f"i{i}w{k}" for k in range(40)]) for i in range(4)] + [(7, [rng.choice("abcdef") for _ in range(30)])]
+    docs = []
+    for d in range(40):
+        words = [rng.choice("abcdefxyz") for _ in range(30)]
+        i, t = rng.choice(items)
+        cut = sorted(rng.sample(range(1, len(t)), rng.randint(0, 5)))
+        parts = [t[a:b] for a, b in zip([0, *cut], [*cut, len(t)])][rng.randint(0, 1) :]
+        rng.shuffle(parts)
+        for part in parts:
+            words[rng.randrange(len(words)) : 0] = part
+        docs.append((d, words))
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    it = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in leaks.find_leaks(df, it, seed_words=5, min_coverage=0.8).collect()}
+    run = lambda a, b: any(a[p : p + 13] == b[q : q + 13] for p in range(len(a) - 12) for q in range(len(b) - 12))
+    tiles = {(d, i): brute_tiles(a, b, 5) for d, a in docs for i, b in items}
+    want = {(d, i) for d, a in docs for i, b in items if run(a, b) or tiles[d, i] >= 0.8 * len(b)}
+    assert set(got) == want and any(r.longest_words < 13 for r in got.values()) and any(r.n_tiles > 2 for r in got.values())
+    assert all(r.covered_words == tiles[k] for k, r in got.items() if k[1] != 7)  # words of item 7 repeat, so ties may be taken otherwise
+    with pytest.raises(ValueError):
+        leaks.find_leaks(df, it, seed_words=14)
+
+
 # ---- token budget ----
 
 
