@@ -31,7 +31,7 @@ _ASCII = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
 _ODD_ASCII = re.compile("[\x1c-\x1f]")
-_CACHE_MAX = 400_000
+_CACHE_MAX = 200_000
 
 
 class _Pieces(dict):

@@ -36,6 +36,29 @@ def _encoder(keys: list[str], directory: str, name: str):
     return run
 
 
+#: What tells the texts of equal ids apart.
+_TEXT = ["id", "h", "h2", "n"]
+
+
+def _chunks(chunk_chars: int, overlap: int):
+    """Chunks of each text, each with the head of the next one."""
+
+    def run(batches):
+        for batch in batches:
+            keys = [batch.column(k) for k in ("id", "h", "h2")]
+            for i in range(batch.num_rows):
+                text = batch.column("text")[i].as_py()
+                n = -(-len(text) // chunk_chars)
+                for at in range(0, n, 64):
+                    ks = range(at, min(n, at + 64))
+                    take = pa.array([i] * len(ks), pa.int64())
+                    parts = [text[k * chunk_chars : (k + 1) * chunk_chars + overlap] for k in ks]
+                    sizes, places = pa.array([len(text)] * len(ks), pa.int32()), pa.array(list(ks), pa.int32())
+                    yield pa.RecordBatch.from_arrays([*(c.take(take) for c in keys), sizes, places, pa.array(parts, pa.string())], [*_TEXT, "k", "text"])
+
+    return run
+
+
 def _boundaries(chunk_chars: int, overlap: int, directory: str, name: str):
     def run(batches):
         bpe = load_bpe(directory, name)
@@ -78,19 +101,17 @@ def encode_corpus(
 
 
 def _encode_long(rows: DataFrame, id_type: str, directory: str, name: str, chunk_chars: int, overlap: int) -> DataFrame:
-    last = F.floor((F.length("text") - 1) / chunk_chars).cast("int")
-    starts = F.sequence(F.lit(0), last)
-    cut = F.transform(starts, lambda k: F.struct(k.alias("k"), F.substring(F.col("text"), k * chunk_chars + 1, F.lit(chunk_chars + overlap)).alias("text")))
+    whole = rows.select("id", F.xxhash64("text").alias("h"), F.md5(F.col("text").cast("binary")).alias("h2"), "text")
     chunks = (
-        rows.select("id", F.xxhash64("text").alias("h"), F.length("text").alias("n"), F.explode(cut).alias("c"))
-        .groupBy("id", "h", "n", F.col("c.k").alias("k"))
-        .agg(F.any_value("c.text").alias("text"), F.count(F.lit(1)).alias("copies"))
+        whole.mapInArrow(_chunks(chunk_chars, overlap), f"id {id_type}, h long, h2 string, n int, k int, text string")
+        .groupBy(*_TEXT, "k")
+        .agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     )
     marked = chunks.mapInArrow(
         _boundaries(chunk_chars, overlap, directory, name),
-        f"id {id_type}, h long, n int, k int, copies long, text string, head array<int>, tail array<int>",
+        f"id {id_type}, h long, h2 string, n int, k int, copies long, text string, head array<int>, tail array<int>",
     )
-    of_text = Window.partitionBy("id", "h", "n").orderBy("k")
+    of_text = Window.partitionBy(*_TEXT).orderBy("k")
     meet = F.array_min(F.array_intersect("tail", F.lead("head").over(of_text)))
     synced = marked.withColumn("meet", meet).withColumn("from", F.when(F.col("k") == 0, F.lit(0)).otherwise(F.lag("meet").over(of_text)))
     # Chunks that did not meet their predecessor stay in its piece.
@@ -98,15 +119,15 @@ def _encode_long(rows: DataFrame, id_type: str, directory: str, name: str, chunk
     core = F.transform(F.slice("all", 1, F.size("all") - 1), lambda c: F.substring(c["text"], F.lit(1), F.lit(chunk_chars)))
     end = F.element_at("all", -1)
     span = (
-        pieces.groupBy("id", "h", "n", "copies", "piece")
+        pieces.groupBy(*_TEXT, "copies", "piece")
         .agg(F.sort_array(F.collect_list(F.struct("k", "from", "meet", "text"))).alias("all"))
         .withColumn("joined", F.concat(F.array_join(core, ""), end["text"]))
         .withColumn("begin", F.element_at("all", 1)["from"])
         .withColumn("stop", F.when(end["meet"].isNull(), F.length("joined")).otherwise((F.size("all") * chunk_chars) + end["meet"]))
-        .select("id", "h", "n", "copies", "piece", F.substring(F.col("joined"), F.col("begin") + 1, F.col("stop") - F.col("begin")).alias("text"))
+        .select(*_TEXT, "copies", "piece", F.substring(F.col("joined"), F.col("begin") + 1, F.col("stop") - F.col("begin")).alias("text"))
     )
-    encoded = span.mapInArrow(_encoder(["id", "h", "n", "copies", "piece"], directory, name), f"id {id_type}, h long, n int, copies long, piece long, ids array<int>")
-    whole = encoded.groupBy("id", "h", "n", "copies").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("all"))
+    encoded = span.mapInArrow(_encoder([*_TEXT, "copies", "piece"], directory, name), f"id {id_type}, h long, h2 string, n int, copies long, piece long, ids array<int>")
+    whole = encoded.groupBy(*_TEXT, "copies").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("all"))
     ids = F.flatten(F.transform("all", lambda p: p["ids"]))
     return whole.select("id", F.explode(F.array_repeat(ids, F.col("copies").cast("int"))).alias("ids"))
 

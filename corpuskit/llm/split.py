@@ -1,13 +1,15 @@
 """Splitting oversized texts at natural boundaries (problem 8).
 
 Method: content-defined chunking. A rolling hash over the pre-tokens sets landmarks; a piece ends at the natural
-boundary nearest to the first landmark that leaves it at least ``min_tokens`` and at most ``max_tokens`` long.
-Cuts depend on the text around them only, so an edit alters the pieces beside it and the later cuts fall on the
-same landmarks again. Boundaries by rank: blank line, line end, sentence end, white space, any pre-token.
+boundary nearest to the first landmark that leaves it at least ``min_tokens`` and at most ``max_tokens`` long: a blank
+line, line end or sentence end within ``snap`` tokens, else white space, else any place between tokens. Where there is no
+landmark, the longest piece takes its place. Cuts depend on the text around them only, so an edit alters the pieces beside
+it and the later cuts fall on the same landmarks again.
 
-Piece k+1 starts ``overlap`` tokens of the text's encoding before the end of piece k. Cuts for which that point
-is a pre-token boundary are preferred; where there is none in reach, the overlap grows to the boundary before it.
-A single pre-token too long for a piece (a run without any boundary) is cut between characters.
+Piece k+1 starts ``overlap`` tokens of the text's encoding before the end of piece k, within a word if need be; only where
+that point lies inside a character (of several tokens) the overlap grows to the character's start. A long run without any
+boundary is cut between its tokens. Any part of an encoding that is cut between tokens encodes to the same tokens by
+itself, so a piece has as many tokens as it counts (fewer where white space at its end merges).
 
 Defined results: null, empty and blank texts and texts of at most ``max_tokens`` tokens give no piece (they are
 not oversized); repeated rows of an id and text give the same pieces once each time; null ids are kept; an empty
@@ -35,15 +37,16 @@ MIN_TOKENS = 1024
 LANDMARK_WINDOW = 8
 LANDMARK_EVERY = 128
 SNAP_TOKENS = 256
+SEGMENT_CHARS = 1 << 20
 _SENTENCE = re.compile(r"[.!?。！？…]['\")\]]*$")
 
 
-def _ranks(pieces: list[str]) -> np.ndarray:
-    """Rank of the boundary after each pre-token: 4 blank line, 3 line end, 2 sentence end, 1 white space, 0 other."""
+def _ranks(pieces: list[str], line: bool, after_all: str) -> tuple[np.ndarray, bool]:
+    """Rank of the boundary after each pre-token: 4 blank line, 3 line end, 2 sentence end, 1 white space, 0 other; and
+    whether the last line holds nothing but white space so far. ``line`` is that of the text before, ``after_all`` what follows."""
     out = np.zeros(len(pieces), np.int8)
-    line = False  # the current line held nothing but white space so far
     for i, piece in enumerate(pieces):
-        after = pieces[i + 1] if i + 1 < len(pieces) else ""
+        after = pieces[i + 1] if i + 1 < len(pieces) else after_all
         ends = piece[-1] == "\n" or piece[-1] == "\r"
         if ends:
             out[i] = 4 if line or piece.count("\n") > 1 else 3
@@ -52,44 +55,93 @@ def _ranks(pieces: list[str]) -> np.ndarray:
             line = False
             if after[:1].isspace():
                 out[i] = 2 if _SENTENCE.search(piece) else 1
-    return out
+    return out, line
 
 
-def _landmarks(pieces: list[str], window: int, every: int) -> np.ndarray:
-    """Pre-tokens after which the rolling hash of the last ``window`` ones is a landmark."""
-    h = np.fromiter((zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in pieces), np.uint64, len(pieces))
-    roll = np.zeros(len(h), np.uint64)
+def _is_landmark(h: np.ndarray, window: int, every: int) -> np.ndarray:
+    """Whether the rolling hash of the last ``window`` hashes is a landmark, at each place but the first window - 1."""
+    n = len(h) - window + 1
+    if n <= 0:
+        return np.zeros(0, bool)
+    roll = np.zeros(n, np.uint64)
     factor = np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
         weight = np.uint64(1)
         for k in range(window):
-            if k < len(h):
-                roll[k:] += h[: len(h) - k] * weight
+            roll += h[window - 1 - k : window - 1 - k + n] * weight
             weight = weight * factor
         roll ^= roll >> np.uint64(29)
         roll *= np.uint64(0xBF58476D1CE4E5B9)
         roll ^= roll >> np.uint64(32)
-    found = np.flatnonzero(roll % np.uint64(every) == 0)
-    return found[found >= window - 1]
-
-
-def _broken_up(bpe: Bpe, pieces: list[str], counts: list[int], limit: int) -> tuple[list[str], list[int]]:
-    """Pre-tokens of more than ``limit`` tokens replaced by parts of fewer, cut between characters."""
-    if max(counts) <= limit:
-        return pieces, counts
-    out, sizes = [], []
-    for piece, n in zip(pieces, counts):
-        if n <= limit:
-            out.append(piece)
-            sizes.append(n)
-            continue
-        rest = piece
-        while rest:
-            part = rest[: max(1, limit // 4)]  # at most four bytes a character, so at most limit tokens
-            out.append(part)
-            sizes.append(len(bpe._all.encode_ordinary(part)))
-            rest = rest[len(part) :]
-    return out, sizes
+    return roll % np.uint64(every) == 0
+
+
+def _parts(bpe: Bpe, piece: str) -> tuple[list[str], list[int]]:
+    """A pre-token cut at its tokens, as far as they end between characters, and the tokens of each part."""
+    raw, at, parts, counts = piece.encode("utf-8", "surrogatepass"), 0, [], []
+    start = held = 0
+    for token in bpe.encode(piece):
+        at += len(bpe.decode([token]))
+        held += 1
+        if at >= len(raw) or raw[at] & 0xC0 != 0x80:
+            parts.append(raw[start:at].decode("utf-8", "surrogatepass"))
+            counts.append(held)
+            start, held = at, 0
+    return parts, counts
+
+
+def _segments(text: str, chars: int):
+    """The text in slices of about ``chars`` that end where a pre-token ends for sure: white space after another character."""
+    at = 0
+    while at < len(text):
+        m = _SURE.search(text, at + chars) if at + chars < len(text) else None
+        stop = m.start() if m else len(text)
+        yield text[at:stop], text[stop : stop + 1]
+        at = stop
+
+
+_SURE = re.compile(r"(?<=[^\s\x1c-\x1f\x85])[ \n]")
+
+
+class _Scan:
+    """Boundaries of a text in order: tokens and characters before each, its rank, and whether it is a landmark.
+
+    Pre-tokens are held for a segment of the text at a time, their places as numbers.
+    """
+
+    def __init__(self, bpe: Bpe, text: str, window: int, every: int, part_tokens: int, segment: int):
+        tokens, chars, ranks, marks = [], [], [], []
+        line, tail, seen = False, np.zeros(0, np.uint64), 0
+        for part, after in _segments(text, segment):
+            pieces = bpe.pieces(part)
+            counts = bpe.piece_counts(pieces)
+            if max(counts) > part_tokens:
+                cut = [_parts(bpe, p) if n > part_tokens else ([p], [n]) for p, n in zip(pieces, counts)]
+                pieces, counts = [p for ps, _ in cut for p in ps], [n for _, ns in cut for n in ns]
+            tokens.append(np.fromiter(counts, np.int64, len(counts)))
+            chars.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            rank, line = _ranks(pieces, line, after)
+            ranks.append(rank)
+            h = np.fromiter((zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in pieces), np.uint64, len(pieces))
+            both = np.concatenate((tail, h))
+            hit = _is_landmark(both, window, every)
+            marks.append(np.flatnonzero(hit) + window - 1 - len(tail) + seen + 1)
+            tail, seen = both[max(0, len(both) - window + 1) :], seen + len(pieces)
+        self.token = np.concatenate(([0], np.cumsum(np.concatenate(tokens))))
+        self.char = np.concatenate(([0], np.cumsum(np.concatenate(chars))))
+        self.rank = np.concatenate(([0], *ranks))
+        self.marks = np.concatenate(marks)
+
+    def place(self, bpe: Bpe, text: str, token: int) -> tuple[int, int]:
+        """The last place between two characters that has at most ``token`` tokens before it: (characters, tokens)."""
+        k = int(np.searchsorted(self.token, token, "right")) - 1
+        char, at = int(self.char[k]), int(self.token[k])
+        if at < token:
+            for part, n in zip(*_parts(bpe, text[char : int(self.char[k + 1])])):
+                if at + n > token:
+                    break
+                char, at = char + len(part), at + n
+        return char, at
 
 
 def split_text(
@@ -101,51 +153,36 @@ def split_text(
     window: int = LANDMARK_WINDOW,
     every: int = LANDMARK_EVERY,
     snap: int = SNAP_TOKENS,
+    segment: int = SEGMENT_CHARS,
 ) -> list[tuple[int, int, int, int]]:
     """Pieces as (start_char, end_char, start_token, end_token); none for a text that is not oversized."""
     if not text or len(text.encode("utf-8", "surrogatepass")) <= max_tokens:
         return []  # every token is a byte at least
-    pieces = bpe.pieces(text)
-    counts = bpe.piece_counts(pieces)
-    if sum(counts) <= max_tokens:
+    if len(text) <= segment and bpe.count(text) <= max_tokens:
         return []
-    pieces, counts = _broken_up(bpe, pieces, counts, max(1, (max_tokens - overlap) // 2))
-    token = np.concatenate(([0], np.cumsum(counts)))  # token[i]: tokens before pre-token i
-    char = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+    scan = _Scan(bpe, text, window, every, max(1, min(8, max_tokens // 8)), segment)
+    token, char, rank, marks = scan.token, scan.char, scan.rank, scan.marks
     total = int(token[-1])
-    # Boundary i lies before pre-token i, for 1 <= i <= len(pieces).
-    rank = np.concatenate(([0], _ranks(pieces))).astype(np.int64)
-    is_boundary = np.zeros(total + 1, bool)
-    is_boundary[token] = True
-    clean = is_boundary[np.maximum(token - overlap, 0)]  # the next piece may start exactly ``overlap`` tokens before
-    marks = _landmarks(pieces, window, every) + 1
-    out, start = [], 0
-    while True:
-        first = int(token[start])
-        if total - first <= max_tokens:
-            out.append((int(char[start]), int(char[-1]), first, total))
-            return out
+    if total <= max_tokens:
+        return []
+    # Natural boundaries come first, then white space, then the rest.
+    tier = np.select([rank >= 2, rank == 1], [0, 1], 2)
+    out, start, first = [], 0, 0
+    while total - first > max_tokens:
         low = int(np.searchsorted(token, first + max(min_tokens, overlap + 1), "left"))
         high = int(np.searchsorted(token, first + max_tokens, "right")) - 1
-        low = min(max(low, start + 1), high)
+        low = min(max(low, int(np.searchsorted(token, first, "right"))), high)
         here = marks[np.searchsorted(marks, low) : np.searchsorted(marks, high, "right")]
+        goal = token[here[0]] if len(here) else token[high]
         at = np.arange(low, high + 1)
-        if len(here):
-            far = np.abs(token[at] - token[here[0]])
-            near = at[far <= snap]
-        else:  # no landmark: the last natural boundary
-            far = token[high] - token[at]
-            near = at[far <= snap]
-        away = np.abs(token[near] - (token[here[0]] if len(here) else token[high]))
-        # Best rank first, then clean overlaps, then the nearest; all three are of the text around the cut.
-        cut = int(near[np.lexsort((near, away, ~clean[near], -np.minimum(rank[near], 4)))[0]])
-        if not clean[cut]:
-            others = near[clean[near] & (rank[near] >= min(rank[cut], 1))]
-            if len(others):
-                cut = int(others[np.lexsort((others, np.abs(token[others] - token[cut]), -rank[others]))[0]])
-        out.append((int(char[start]), int(char[cut]), first, int(token[cut])))
-        after = int(np.searchsorted(token, token[cut] - overlap, "right")) - 1
-        start = after if after > start else cut
+        away = np.abs(token[at] - goal)
+        near, away = at[away <= snap], away[away <= snap]
+        cut = int(near[np.lexsort((near, -rank[near], away, tier[near]))[0]])
+        out.append((start, int(char[cut]), first, int(token[cut])))
+        after = scan.place(bpe, text, int(token[cut]) - overlap)
+        start, first = after if after[1] > first else (int(char[cut]), int(token[cut]))
+    out.append((start, int(char[-1]), first, total))
+    return out
 
 
 def split_oversized(
@@ -159,7 +196,8 @@ def split_oversized(
     name: str = BYTE_BPE_50K,
     with_text: bool = True,
 ) -> DataFrame:
-    """One row per piece of each oversized text; no shuffle. Texts of few bytes are told apart in the scan."""
+    """One row per piece of each oversized text. Texts of few bytes are told apart in the scan; nothing is shuffled but a
+    small input of a few files (``session.spread``)."""
     id_type = df.schema[id_col].dataType.simpleString()
     rows = spread(df.filter(F.octet_length(text_col) > max_tokens).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
 
