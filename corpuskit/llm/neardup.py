@@ -5,17 +5,19 @@ characters (tokens); size of the intersection over that of the union.
 
 Method: parity-sketch join. Two sets of similarity above t differ in at most d = (a + b)(1 - t)/(1 + t) tokens.
 Tokens are hashed into the bands of a sketch and XOR-ed there, so a token that only one set has changes one band:
-the number of differing bands, and the Hamming distance of a 512-bit sketch, bound the symmetric difference from
-below. Within a size band (sizes that can be similar) the sketches are joined on equal bands; with d + 1 bands a pair
-cannot miss every one (``miss=0``). As the bands are chosen by a random hash, fewer, wider bands do for all but a
-proven share ``miss`` of pairs exactly at the threshold (by default one in a million, falling steeply above it), and
-they keep unrelated texts apart: that is what makes the join feasible. Pairs whose sketches differ in more than d bits
-are dropped, the others are verified on the texts themselves.
-
-Each text takes part once, under a 64-bit hash of it; records of one text are its members, so copies cost nothing.
-Bands of different texts meet in tasks of bounded size: (size band, group of bands, split), the split growing with
-the table. Runs of one band value are compared in the order of size by vector operations; only pairs that pass the
-sketch leave the task. No pair, partner or bucket is capped.
+the number of differing bands, and the Hamming distance of a bit sketch, bound the symmetric difference from below; the
+bit sketch is 3.5 d bits wide, so that it tells sets of every size apart. Within a size band (sizes that can be similar)
+the sketches are joined on equal bands; with d + 1 bands a pair cannot miss every one (``miss=0``). As the bands are
+chosen by a random hash, fewer, wider bands do for all but a proven share ``miss`` of pairs exactly at the threshold (by
+default one in a million, falling steeply above it), and they keep unrelated texts apart: that is what makes the join
+feasible. Pairs whose sketches differ in more than d bits are dropped, the others are verified on the texts themselves.
+
+Each text takes part once; records of one text are its members, so copies cost nothing. A text is known by its MD5; in the
+join 64 bits of another hash stand for it, and every text that has them is verified, so texts of one hash are not mixed up.
+Bands of different texts meet in tasks of bounded size: (size band, group of bands, split), the splits growing with the
+table (``split_rows``); a text's sketch is in each task that gets one of its bands. Runs of one band value are compared in
+the order of size by vector operations; only pairs that pass the sketch leave the task. No pair, partner or bucket is
+capped.
 
 Defined results: null texts, texts under ``min_chars`` and texts without any token have no similar record; null ids
 are left out; repeated rows of one record count once; an empty table gives an empty table; other columns are not read.
@@ -29,7 +31,7 @@ from math import ceil, floor, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.operators.components import connected_components
@@ -42,7 +44,6 @@ MISS = 1e-6
 SIZE_STEP = 1.38  # width of a size band
 GROUPS = 4  # groups of bands of a size band, each a task
 SPLIT_ROWS = 4_000_000  # rows of the table for each split of a group
-SKETCH_BITS = 512
 
 _OTHER = re.compile(r"[^\w\s]|_")
 _LOWER = bytes(range(256)).lower()
@@ -94,11 +95,11 @@ def bands_for(d: int, miss: float) -> int:
 
 
 @lru_cache(maxsize=256)
-def _layout(level: int, threshold: float, step: float, miss: float) -> int:
-    """Bands of the size band whose smaller sets have sizes in [step^level, step^(level + 1))."""
+def _layout(level: int, threshold: float, step: float, miss: float) -> tuple[int, int]:
+    """Bands, and 64-bit words of the sketch, of the size band whose smaller sets have sizes in [step^level, step^(level + 1))."""
     top = ceil(step ** (level + 1))
     d = floor((top + top / threshold) * (1 - threshold) / (1 + threshold) + 1e-9)
-    return bands_for(d, miss)
+    return bands_for(d, miss), max(2, ceil(3.5 * d / 64))
 
 
 class _Sketcher:
@@ -124,7 +125,6 @@ class _Sketcher:
         owner = (keyed >> np.uint64(44)).astype(np.int64)
         h = keyed & np.uint64((1 << 44) - 1)
         size = np.bincount(owner, minlength=len(norms))
-        sketch = self._bits(owner, h, len(norms))
         value = _mix(h)
         some = np.flatnonzero(size > 0)
         level = np.zeros(len(norms), np.int64)
@@ -132,23 +132,27 @@ class _Sketcher:
         # A set also joins the size band below its own if that holds sets small enough to be similar.
         for at in np.unique(level[some]).tolist():
             own = some[level[some] == at]
-            yield from self._level(at, own, owner, h, value, ids, size, sketch)
+            yield from self._level(at, own, owner, h, value, ids, size)
             low = own[size[own] * self.threshold < self.step**at]
             if at > 0 and len(low):
-                yield from self._level(at - 1, low, owner, h, value, ids, size, sketch)
+                yield from self._level(at - 1, low, owner, h, value, ids, size)
 
     @staticmethod
-    def _bits(owner, h, n):
-        bit = (h & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-        odd = np.bincount(owner * SKETCH_BITS + bit, minlength=n * SKETCH_BITS) & 1
-        return np.packbits(odd.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1)
-
-    def _level(self, level, rows, owner, h, value, ids, size, sketch):
-        bands = _layout(level, self.threshold, self.step, self.miss)
+    def _bits(place, h, n, words):
+        """The parity of the tokens of each of n sets in each bit."""
+        bits = words * 64
+        bit = ((h & np.uint64(0xFFFFF)) * np.uint64(bits) >> np.uint64(20)).astype(np.int64)
+        odd = np.bincount(place * bits + bit, minlength=n * bits).astype(np.uint8) & 1
+        return np.packbits(odd.reshape(n, bits), axis=1)
+
+    def _level(self, level, rows, owner, h, value, ids, size):
+        bands, words = _layout(level, self.threshold, self.step, self.miss)
         place = np.full(len(size), -1, np.int64)
         place[rows] = np.arange(len(rows))
         mine = place[owner] >= 0
-        cell = place[owner[mine]] * bands + ((h[mine] >> np.uint64(12)) * np.uint64(bands) >> np.uint64(32)).astype(np.int64)
+        at = place[owner[mine]]
+        sketch = self._bits(at, h[mine], len(rows), words)
+        cell = at * bands + ((h[mine] >> np.uint64(12)) * np.uint64(bands) >> np.uint64(32)).astype(np.int64)
         starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
         keys = np.zeros(len(rows) * bands, np.uint64)
         keys[cell[starts]] = np.bitwise_xor.reduceat(value[mine], starts)
@@ -168,27 +172,27 @@ class _Sketcher:
                     take, at = np.unique(r, return_inverse=True)
                     at, band, key = at.astype(np.uint32).tobytes(), c.astype(np.uint16).tobytes(), part[r, c].tobytes()
                 who = rows[take]
-                yield (level * self.groups + g) * self.splits + s, last - first, ids[who].tobytes(), size[who].astype(np.uint32).tobytes(), sketch[who].tobytes(), at, band, key
+                yield (level * self.groups + g) * self.splits + s, last - first, words, ids[who].tobytes(), size[who].astype(np.uint32).tobytes(), sketch[take].tobytes(), at, band, key
 
 
-_BLOCK = "part int, bands int, ids binary, sizes binary, sketches binary, places binary, band binary, keys binary"
+_BLOCK = "part int, bands int, words int, ids binary, sizes binary, sketches binary, places binary, band binary, keys binary"
 
 
 def _sketch_batches(sketcher: _Sketcher):
     names = [f.split()[0] for f in _BLOCK.split(", ")]
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+    kinds = [*[pa.int32()] * 3, *[pa.binary()] * 6]
 
     def run(batches):
-        seen: set[int] = set()  # copies of a text within this partition
+        seen: set[bytes] = set()  # copies of a text within this partition
         for batch in batches:
-            h = batch.column("h").to_pylist()
             fresh = []
-            for i, x in enumerate(h):
+            for i, x in enumerate(batch.column("k").to_pylist()):
                 if x not in seen:
                     seen.add(x)
                     fresh.append(i)
-            texts = batch.column("text").take(pa.array(fresh, pa.int64())).to_pylist()
-            ids = np.array([h[i] for i in fresh], np.int64)
+            take = pa.array(fresh, pa.int64())
+            texts = batch.column("text").take(take).to_pylist()
+            ids = batch.column("h").take(take).to_numpy()
             at = 0
             while at < len(texts):  # at most about 4M characters, and 2^20 rows, at a time
                 stop, chars = at, 0
@@ -211,9 +215,10 @@ def _join_blocks(threshold: float):
         blocks = table.to_pylist()
         ids = np.concatenate([np.frombuffer(b["ids"], np.int64) for b in blocks])
         sizes = np.concatenate([np.frombuffer(b["sizes"], np.uint32) for b in blocks]).astype(np.int64)
-        sketches = np.concatenate([np.frombuffer(b["sketches"], np.uint64).reshape(-1, SKETCH_BITS // 64) for b in blocks])
+        sketches = np.concatenate([np.frombuffer(b["sketches"], np.uint64).reshape(-1, blocks[0]["words"]) for b in blocks])
         offsets = np.cumsum([0, *(len(b["ids"]) // 8 for b in blocks)])
-        _, first = np.unique(ids, return_index=True)
+        # Rows of one hash, size and sketch are copies; different texts of one hash stay apart.
+        _, first = np.unique(_mix(sketches[:, 0] + sizes.astype(np.uint64)) ^ ids.view(np.uint64), return_index=True)
         fresh = np.zeros(len(ids), bool)
         fresh[first] = True  # copies from other partitions
         found = []
@@ -244,6 +249,7 @@ def _join_blocks(threshold: float):
                     one, two = who[at[s : s + (1 << 18)]], who[at[s : s + (1 << 18)] + k]
                     apart = np.bitwise_count(sketches[one] ^ sketches[two]).sum(axis=1, dtype=np.int64)
                     ok = apart <= (sizes[one] + sizes[two]) * factor + 1e-9
+                    ok &= ids[one] != ids[two]
                     if ok.any():
                         found.append(np.stack((ids[one[ok]], ids[two[ok]])))
                 k += 1
@@ -256,7 +262,7 @@ def _join_blocks(threshold: float):
 
 def _verify(threshold: float):
     def run(batches):
-        cache: dict[int, np.ndarray] = {}
+        cache: dict[bytes, np.ndarray] = {}
 
         def of(key, text):
             got = cache.get(key)
@@ -277,8 +283,8 @@ def _verify(threshold: float):
 
 
 class NearDuplicates:
-    """The join of one table with itself: ``members`` (id, h), ``links`` (a, b, similarity) between different
-    texts, and from them ``pairs`` of records and ``classes`` of records."""
+    """The join of one table with itself: ``members`` (id, k: the MD5 of its text), ``links`` (a, b, similarity) between
+    different texts, and from them ``pairs`` of records and ``classes`` of records."""
 
     def __init__(
         self,
@@ -289,48 +295,50 @@ class NearDuplicates:
         min_chars: int = MIN_CHARS,
         miss: float = MISS,
         split_rows: int = SPLIT_ROWS,
+        h: Column | None = None,
     ):
         self.threshold = threshold
         rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(f"id is not null and length(text) >= {min_chars}")
-        self.rows = rows.withColumn("h", F.xxhash64("text"))
-        self.members = self.rows.select("id", "h").distinct()
+        self.rows = rows.select("id", "text", (F.xxhash64("text") if h is None else h).alias("h"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("k"))
+        self.members = self.rows.select("id", "k").distinct()
         splits = max(1, ceil(df.count() / split_rows))
         sketcher = _Sketcher(threshold, SIZE_STEP, GROUPS, splits, miss)
-        blocks = spread(self.rows.select("h", "text")).mapInArrow(_sketch_batches(sketcher), _BLOCK)
+        blocks = spread(self.rows.select("h", "k", "text")).mapInArrow(_sketch_batches(sketcher), _BLOCK)
         candidates = blocks.groupBy("part").applyInArrow(_join_blocks(threshold), "a long, b long").distinct()
         self.candidates = cut_lineage(candidates)
         self.links = cut_lineage(self._verified())
 
     def _verified(self) -> DataFrame:
         both = self.candidates.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-        texts = semi_join(self.rows.select("h", "text"), both, ["h"]).groupBy("h").agg(F.any_value("text").alias("text"))
-        one, two = texts.withColumnsRenamed({"h": "a", "text": "ta"}), texts.withColumnsRenamed({"h": "b", "text": "tb"})
-        return self.candidates.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(self.threshold), "a long, b long, similarity double")
+        texts = semi_join(self.rows.select("h", "k", "text"), both, ["h"]).groupBy("h", "k").agg(F.any_value("text").alias("text"))
+        one, two = texts.withColumnsRenamed({"h": "ha", "k": "a", "text": "ta"}), texts.withColumnsRenamed({"h": "hb", "k": "b", "text": "tb"})
+        found = self.candidates.withColumnsRenamed({"a": "ha", "b": "hb"})
+        return found.join(one, "ha").join(two, "hb").select("a", "b", "ta", "tb").mapInArrow(_verify(self.threshold), "a binary, b binary, similarity double")
 
     def pairs(self) -> DataFrame:
         """id_a < id_b of all similar records, copies included."""
         m = self.members
-        near = self.links.join(m.select(F.col("h").alias("a"), F.col("id").alias("x")), "a").join(m.select(F.col("h").alias("b"), F.col("id").alias("y")), "b")
-        shared = m.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("one")).filter("n > 1")
+        near = self.links.join(m.select(F.col("k").alias("a"), F.col("id").alias("x")), "a").join(m.select(F.col("k").alias("b"), F.col("id").alias("y")), "b")
+        shared = m.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         has_token = F.length(F.regexp_replace("text", r"[^\p{L}\p{N}\s]", "")) > 2
-        texts = semi_join(self.rows, cut_lineage(shared.select("h")), ["h"]).filter(has_token).select("id", "h").distinct()
-        same = texts.select("h", F.col("id").alias("x")).join(texts.select("h", F.col("id").alias("y")), "h").filter("x < y")
+        texts = semi_join(self.rows, cut_lineage(shared.select("k")), ["k"]).filter(has_token).select("id", "k").distinct()
+        same = texts.select("k", F.col("id").alias("x")).join(texts.select("k", F.col("id").alias("y")), "k").filter("x < y")
         both = near.select("x", "y").unionByName(same.select("x", "y"))
         return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).filter("id_a < id_b").distinct()
 
     def classes(self) -> DataFrame:
         """One row per record: id, class_id (least id of the class), copies (records of its text), links (similar records)."""
-        count = self.members.groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
+        count = self.members.groupBy("k").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
         edges = self.links.select("a", "b").union(self.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        linked = edges.join(count.select(F.col("h").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+        linked = edges.join(count.select(F.col("k").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
         label = connected_components(self.links)
         text = (
-            count.join(label, count.h == label.node, "left")
-            .join(linked, count.h == linked.a, "left")
-            .select("h", "copies", "least", F.coalesce("component", "h").alias("component"), F.coalesce("others", F.lit(0)).alias("others"))
+            count.join(label, count.k == label.node, "left")
+            .join(linked, count.k == linked.a, "left")
+            .select("k", "copies", "least", F.coalesce("component", "k").alias("component"), F.coalesce("others", F.lit(0)).alias("others"))
         )
         ids = text.groupBy("component").agg(F.min("least").alias("class_id"))
         return (
-            self.members.join(text.join(ids, "component"), "h")
+            self.members.join(text.join(ids, "component"), "k")
             .select("id", "class_id", "copies", (F.col("copies") - 1 + F.col("others")).alias("links"))
         )

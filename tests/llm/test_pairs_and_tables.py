@@ -55,6 +55,26 @@ def test_near_duplicates_against_brute_force(spark, miss, split_rows):
     assert classes[900].class_id == classes[0].class_id
 
 
+def test_texts_of_one_hash_are_not_mixed_up(spark):
+    rows = list(enumerate(texts_with_copies(24, 5)))
+    df = spark.createDataFrame(rows, "record_id long, code string")
+    near = neardup.NearDuplicates(df, h=F.pmod(F.xxhash64("text"), F.lit(40)))  # several texts share each hash
+    got, want = {(r.id_a, r.id_b) for r in near.pairs().collect()}, brute(rows)
+    # Only pairs of one hash are out of reach; with 64 bits there are none.
+    one = {r.record_id: r.h for r in df.select("record_id", F.pmod(F.xxhash64("code"), F.lit(40)).alias("h")).collect()}
+    assert got <= want and {p for p in want if one[p[0]] != one[p[1]]} <= got and len(got) > 5
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n, level in ((30, 10), (400, 18), (6000, 27)):
+        bands, words = neardup._layout(level, 0.85, neardup.SIZE_STEP, 0)
+        a = rng.integers(0, 1 << 44, n, dtype=np.uint64)
+        b = np.concatenate((a[: n - n // 10], rng.integers(0, 1 << 44, n // 12, dtype=np.uint64)))
+        x, y = (neardup._Sketcher._bits(np.zeros(len(t), np.int64), t, 1, words) for t in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     near = neardup.NearDuplicates(spark.createDataFrame([], "record_id long, code string"))
     assert near.pairs().count() == 0 and near.classes().count() == 0
