@@ -7,6 +7,7 @@ import io
 import re
 import tokenize
 import warnings
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,12 +34,36 @@ _GROUPS = {
 _DOCUMENTED = (ast.Module, ast.ClassDef, ast.FunctionDef, ast.AsyncFunctionDef)
 
 
+def _nodes(tree: ast.AST) -> list[ast.AST]:
+    """All nodes of a tree, each as often as it is referred to."""
+    out = [tree]
+    for node in out:
+        for name in node._fields:
+            value = getattr(node, name, None)
+            if type(value) is list:
+                out += [v for v in value if isinstance(v, ast.AST)]
+            elif isinstance(value, ast.AST):
+                out.append(value)
+    return out
+
+
 def _tokens(source: str):
     return tokenize.generate_tokens(io.StringIO(source).readline)
 
 
-def validate(source) -> dict:
-    """The validation record of one source. comment_ratio: lines with a comment or docstring over the lines not blank."""
+def tokenised(source) -> tuple[list, Exception | None]:
+    """The tokens of a source as far as it can be tokenised, and what stopped that."""
+    out: list = []
+    try:
+        out.extend(_tokens(source or ""))
+    except (tokenize.TokenError, SyntaxError) as e:
+        return out, e
+    return out, None
+
+
+def validate(source, tokens: tuple[list, Exception | None] | None = None) -> dict:
+    """The validation record of one source (``tokens``: those of it, if they are at hand). comment_ratio: lines with a
+    comment or docstring over the lines not blank."""
     out = dict.fromkeys((n for n, _ in FIELDS))
     out.update(is_valid=False, has_comments=False, has_docstrings=False, comment_ratio=0.0, node_count=0, comment_count=0, docstring_count=0, **dict.fromkeys(_GROUPS, 0))
     if not isinstance(source, str):
@@ -53,24 +78,27 @@ def validate(source) -> dict:
         kind = "indentation_error" if isinstance(e, IndentationError) else "syntax_error"
         return out | {"error_type": kind, "error_message": e.msg, "line_number": e.lineno, "column_offset": e.offset}
     except (ValueError, RecursionError, MemoryError) as e:  # one hostile file must not end the job
-        return out | {"error_type": "internal_error", "error_message": f"{type(e).__name__}: {e}"[:500]}
+        return out | {"error_type": "internal_error", "error_message": f"{type(e).__name__}: {e}"}
     out["is_valid"] = True
     marked: set[int] = set()
-    for node in ast.walk(tree):
-        out["node_count"] += 1
-        for name, kinds in _GROUPS.items():
-            out[name] += isinstance(node, kinds)
-        if isinstance(node, _DOCUMENTED) and node.body:
+    nodes = _nodes(tree)
+    kinds = Counter(map(type, nodes))
+    out["node_count"] = len(nodes)
+    for name, group in _GROUPS.items():
+        out[name] = sum(kinds[k] for k in group)
+    for node in nodes:
+        if type(node) in _DOCUMENTED and node.body:
             first = node.body[0]
             if isinstance(first, ast.Expr) and isinstance(first.value, ast.Constant) and isinstance(first.value.value, str):
                 out["docstring_count"] += 1
                 marked.update(range(first.lineno, (first.end_lineno or first.lineno) + 1))
-    try:
-        comments = [t.start[0] for t in _tokens(source) if t.type == tokenize.COMMENT]
+    found, error = tokens or tokenised(source)
+    if error is None:
+        comments = [t.start[0] for t in found if t.type == tokenize.COMMENT]
         out["comment_count"] = len(comments)
         marked.update(comments)
-    except (tokenize.TokenError, SyntaxError) as e:
-        out["analysis_error_type"], out["analysis_error_message"] = "tokenize_error", str(e)
+    else:
+        out["analysis_error_type"], out["analysis_error_message"] = "tokenize_error", str(error)
     lines = sum(1 for line in source.splitlines() if line.strip())
     out["comment_ratio"] = len(marked) / lines if lines else 0.0
     out["has_comments"], out["has_docstrings"] = out["comment_count"] > 0, out["docstring_count"] > 0
@@ -80,21 +108,19 @@ def validate(source) -> dict:
 _SILENT = {tokenize.COMMENT, tokenize.DEDENT, tokenize.ENCODING, tokenize.ENDMARKER, tokenize.INDENT, tokenize.NEWLINE, tokenize.NL}
 
 
-def significant_tokens(source: str | None) -> int:
+def significant_tokens(source: str | None, tokens: tuple[list, Exception | None] | None = None) -> int:
     """Tokens that are neither comments nor layout; pieces between white space where the source cannot be tokenised."""
     if not source:
         return 0
-    try:
-        return sum(1 for t in _tokens(source) if t.type not in _SILENT)
-    except (tokenize.TokenError, SyntaxError):
-        return len(source.split())
+    found, error = tokens or tokenised(source)
+    return sum(1 for t in found if t.type not in _SILENT) if error is None else len(source.split())
 
 
 _PAIRS = set("([{")
 _BLANK_BEFORE = {"def", "class", "async", "@"}
 
 
-def style_violations(source: str | None, max_line: int = 79) -> int:
+def style_violations(source: str | None, max_line: int = 79, found: tuple[list, Exception | None] | None = None) -> int:
     """Style violations by the subset of PEP 8 checks that need no outside package.
 
     E501 long line, W291/W293 trailing white space, W191/E101 tabs, W391 blank line at the end, W292 no line end, E303 too
@@ -119,9 +145,8 @@ def style_violations(source: str | None, max_line: int = 79) -> int:
         indent = line[: len(line) - len(line.lstrip())]
         n += "\t" in indent
         n += tabbed and " " in indent and "\t" in indent
-    try:
-        tokens = list(_tokens(source))
-    except (tokenize.TokenError, SyntaxError):
+    tokens, error = found or tokenised(source)
+    if error is not None:
         return n + 1
     blank, depth, previous, level, seen, statement = 0, 0, None, 0, False, False
     for i, t in enumerate(tokens):
@@ -174,24 +199,39 @@ def style_violations(source: str | None, max_line: int = 79) -> int:
     return n
 
 
-def with_validation(df: DataFrame, code_col: str, out_col: str = "validation", measures: bool = True) -> DataFrame:
+def with_validation(df: DataFrame, code_col: str, out_col: str = "validation", measures: bool = True, once_by: str | None = None, keep_code: bool = True) -> DataFrame:
     """``df`` with a struct column of VALIDATION_SCHEMA, and (``measures``) token_count and pep8_violations.
 
-    One pass over Arrow batches; the other columns go through Python untouched, so project first.
+    One pass over Arrow batches and over the tokens of a source; the other columns go through Python untouched, so project
+    first. With ``once_by``, a key of the code, a repeated key within a task has nulls in place of what was measured before;
+    without ``keep_code`` the code itself is left out.
     """
+    if not keep_code:
+        df = df.select(*[c for c in df.columns if c != code_col], code_col)
     names = [f.name for f in df.schema.fields]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    names = names if keep_code else [n for n in names if n != code_col]
+    columns = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
     extra = ", token_count long, pep8_violations long" if measures else ""
 
     def run(batches):
+        seen: set = set()
         for batch in batches:
             sources = batch.column(code_col).to_pylist()
-            records = [validate(s) for s in sources]
-            struct = pa.StructArray.from_arrays([pa.array([r[n] for r in records], _KIND[t]) for n, t in FIELDS], [n for n, _ in FIELDS])
+            new = [True] * len(sources)
+            if once_by:
+                for i, key in enumerate(batch.column(once_by).to_pylist()):
+                    new[i] = key not in seen
+                    seen.add(key)
+            tokens = [tokenised(s) if n and isinstance(s, str) else None for s, n in zip(sources, new)]
+            records = [validate(s, t) if n else None for s, t, n in zip(sources, tokens, new)]
+            struct = pa.StructArray.from_arrays([pa.array([r and r[n] for r in records], _KIND[t]) for n, t in FIELDS], [n for n, _ in FIELDS], mask=pa.array([not n for n in new]))
             out = [*(batch.column(n) for n in names), struct]
             labels = [*names, out_col]
             if measures:
-                out += [pa.array([significant_tokens(s) for s in sources], pa.int64()), pa.array([style_violations(s) for s in sources], pa.int64())]
+                out += [
+                    pa.array([significant_tokens(s, t) if n else None for s, t, n in zip(sources, tokens, new)], pa.int64()),
+                    pa.array([style_violations(s, found=t) if n else None for s, t, n in zip(sources, tokens, new)], pa.int64()),
+                ]
                 labels += ["token_count", "pep8_violations"]
             yield pa.RecordBatch.from_arrays(out, labels)
 

@@ -163,10 +163,23 @@ def bucket(
     min_ratio: float = MIN_COMMENT_RATIO,
     max_style: int = MAX_STYLE,
 ) -> Column:
+    measured = measured_bucket(ast_valid, tokens, ratio, style, min_tokens, max_tokens, min_ratio, max_style)
+    return F.when(F.col("is_blank"), "syntax_invalid").when(~F.col("is_first"), "exact_duplicates").otherwise(measured)
+
+
+def measured_bucket(
+    ast_valid: Column,
+    tokens: Column,
+    ratio: Column,
+    style: Column,
+    min_tokens: int = MIN_TOKENS,
+    max_tokens: int = MAX_TOKENS,
+    min_ratio: float = MIN_COMMENT_RATIO,
+    max_style: int = MAX_STYLE,
+) -> Column:
+    """The bucket of a first record that is not blank, by its measures."""
     return (
-        F.when(F.col("is_blank"), "syntax_invalid")
-        .when(~F.col("is_first"), "exact_duplicates")
-        .when(~F.coalesce(ast_valid, F.lit(False)), "syntax_invalid")
+        F.when(~F.coalesce(ast_valid, F.lit(False)), "syntax_invalid")
         .when(tokens < min_tokens, "too_short")
         .when(tokens > max_tokens, "too_long")
         .when(ratio < min_ratio, "low_documentation")

@@ -134,14 +134,24 @@ def q_code_validation(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def q_code_funnel(spark: SparkSession, d: str) -> DataFrame:
-    """The funnel over code records, with real syntax checks and measures, which first arrivals alone need."""
-    rows = quality.arrivals(_code(spark, d).select("record_id", "code"), "code", ["record_id"])
-    first = python_source.with_validation(rows.filter("is_first and not is_blank"), "code")
+    """The funnel over code records, with real syntax checks and measures.
+
+    A code is measured once in a task; only its hashes, the record and its bucket are shuffled. The first record of a
+    content has the bucket of its own code, the others are duplicates.
+    """
+    code = F.col("code")
+    rows = table(spark, d, "python_tutorial_code").select("record_id", (code.isNull() | (text.strip(code) == "")).alias("is_blank"), text.exact_hash("code").alias("h"), F.unhex(F.md5("code")).alias("k"), "code")
+    blank = rows.filter("is_blank").agg(F.countDistinct("record_id").alias("n")).select(F.lit("syntax_invalid").alias("bucket"), "n")
     v = F.col("validation")
-    measured = first.withColumn("bucket", quality.bucket(v["is_valid"], F.col("token_count"), v["comment_ratio"], F.col("pep8_violations")))
-    none = F.lit(None)
-    others = rows.filter("is_blank or not is_first").withColumn("bucket", quality.bucket(none.cast("boolean"), none, none, none))
-    return quality.funnel_counts(measured.select("bucket").unionByName(others.select("bucket")))
+    measured = python_source.with_validation(rows.filter("not is_blank").drop("is_blank"), "code", once_by="k", keep_code=False)
+    named = quality.measured_bucket(v["is_valid"], F.col("token_count"), v["comment_ratio"], F.col("pep8_violations"))
+    seen = cut_lineage(measured.select("record_id", "h", "k", F.when(v.isNotNull(), named).alias("bucket")))
+    firsts = seen.groupBy("h", "record_id").agg(F.min("k").alias("k")).groupBy("h").agg(F.min_by("k", "record_id").alias("k"), F.count(F.lit(1)).alias("n"))
+    buckets = seen.filter("bucket is not null").groupBy("k").agg(F.max("bucket").alias("bucket"))
+    one = firsts.join(buckets, "k").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    more = firsts.agg(F.sum(F.col("n") - 1).alias("n")).select(F.lit("exact_duplicates").alias("bucket"), "n")
+    both = one.unionByName(more).unionByName(blank).filter("n > 0")
+    return both.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 @query()
