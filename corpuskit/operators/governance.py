@@ -6,6 +6,7 @@ import datetime
 import json
 import platform
 import sys
+import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,3 +120,48 @@ def readiness(checks: dict[str, bool], gating: list[str]) -> tuple[str, list[str
     """READY if all gating checks hold, else NOT_READY; and the checks that failed."""
     failed = [k for k, ok in checks.items() if not ok]
     return ("NOT_READY" if set(failed) & set(gating) else "READY"), failed
+
+
+#: Fields of quality metadata; flags come as booleans or as 0 and 1.
+QUALITY_FLAGS = ["ast_valid", "ast_invalid", "generated_or_vendor"]
+QUALITY_TEXTS = ["license_status", "token_count_status"]
+
+
+def quality_metadata(fields: dict[str, Column]) -> Column:
+    """map of the given quality fields that are not null, flags as 'true' and 'false'; where none is, four null entries."""
+    entries = [
+        F.when(fields[n].isNotNull(), F.struct(F.lit(n).alias("key"), (fields[n].cast("boolean").cast("string") if n in QUALITY_FLAGS else fields[n].cast("string")).alias("value")))
+        for n in [*QUALITY_FLAGS[:2], *QUALITY_TEXTS, QUALITY_FLAGS[2]]
+        if n in fields
+    ]
+    found = F.map_from_entries(F.array_compact(F.array(*entries))) if entries else F.create_map().cast("map<string,string>")
+    none = F.lit(None).cast("string")
+    empty = F.create_map(*[x for n in [*QUALITY_FLAGS[:2], *QUALITY_TEXTS] for x in (F.lit(n), none)])
+    return F.when(F.size(found) > 0, found).otherwise(empty)
+
+
+def merged(base: Column, overrides: Column) -> Column:
+    """Two maps as one; what the second one has replaces what the first has."""
+    kept = F.map_filter(F.coalesce(base, F.create_map().cast("map<string,string>")), lambda k, v: ~F.coalesce(F.map_contains_key(overrides, k), F.lit(False)))
+    return F.map_concat(kept, F.coalesce(overrides, F.create_map().cast("map<string,string>")))
+
+
+def run_steps(spark, steps: list) -> DataFrame:
+    """name, ok, error, seconds of each (name, callable), run in order; a step that fails does not stop the others."""
+    rows = []
+    for name, step in steps:
+        began, error = time.monotonic(), None
+        try:
+            step()
+        except Exception as e:  # noqa: BLE001 - whatever a step raises is its result
+            error = type(e).__name__
+        rows.append((name, error is None, error, time.monotonic() - began))
+    return spark.createDataFrame(rows, "name string, ok boolean, error string, seconds double")
+
+
+def all_hold(conditions: dict[str, Column]) -> Column:
+    """Whether every condition holds; an unknown one does not."""
+    out = F.lit(True)
+    for c in conditions.values():
+        out = out & F.coalesce(c, F.lit(False))
+    return out

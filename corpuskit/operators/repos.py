@@ -123,9 +123,64 @@ def check_transitions(events: DataFrame, key: str, state: str, order: list[str],
     return events.withColumn("_before", before).filter(F.col("_before").isNotNull() & ~ok).withColumnRenamed("_before", "previous_state")
 
 
-def lease_overlaps(leases: DataFrame, resource: str, owner: str, start: str, end: str) -> DataFrame:
-    """Leases that begin before an earlier lease of another owner on the same resource has ended."""
-    w = Window.partitionBy(resource).orderBy(start, end, owner).rowsBetween(Window.unboundedPreceding, -1)
-    held = F.max(F.struct(end, owner)).over(w)
-    rows = leases.withColumn("_h", held)
-    return rows.filter(F.col("_h").isNotNull() & (F.col(f"_h.{end}") > F.col(start)) & (F.col(f"_h.{owner}") != F.col(owner))).drop("_h")
+def lease_overlaps(leases: DataFrame, resource: str, owner: str, start: str, end: str, slot: int = 600) -> DataFrame:
+    """Leases that begin while a lease of another owner on the same resource, which began before, is still held.
+
+    Times are numbers of seconds. A lease stands in every slot of that many seconds in which it is held and meets those that
+    begin there, so a resource's history is never in one task; leases much longer than a slot stand in many. Of leases that
+    begin together the one that ends first, then the owner's name, counts as the earlier one.
+    """
+    a, b = leases.alias("a"), leases.select(resource, owner, start, end).filter(F.col(end) > F.col(start))
+    slots = F.sequence(F.floor(F.col(start) / slot), F.floor((F.col(end) - 1) / slot))
+    held = b.withColumn("_slot", F.explode(slots)).alias("b")
+    col = lambda t, c: F.col(f"{t}.{c}")
+    earlier = F.struct(col("b", start), col("b", end), col("b", owner)) < F.struct(col("a", start), col("a", end), col("a", owner))
+    meets = (col("a", resource) == col("b", resource)) & (F.floor(col("a", start) / slot) == F.col("b._slot"))
+    return a.join(held, meets & (col("a", owner) != col("b", owner)) & (col("b", end) > col("a", start)) & earlier, "left_semi")
+
+
+#: States of the acquisition of a repository during which work is going on, and what may follow each state.
+IN_FLIGHT = ["FETCHING", "CHECKOUT", "SNAPSHOTTING", "VERIFYING", "PROMOTING"]
+ALLOWED = {
+    "QUEUED": ["FETCHING", "SKIPPED"], "FETCHING": ["CHECKOUT", "FAILED", "TIMEOUT_RETRYABLE"], "CHECKOUT": ["SNAPSHOTTING", "FAILED", "TIMEOUT_RETRYABLE"],
+    "SNAPSHOTTING": ["VERIFYING", "FAILED", "TIMEOUT_RETRYABLE"], "VERIFYING": ["PROMOTING", "FAILED", "TIMEOUT_RETRYABLE"], "PROMOTING": ["ACQUIRED", "FAILED", "TIMEOUT_RETRYABLE"],
+    "TIMEOUT_RETRYABLE": ["FETCHING", "CHECKOUT", "SNAPSHOTTING", "VERIFYING", "PROMOTING", "TIMEOUT_PERMANENT"],
+}
+
+
+def reset_interrupted(df: DataFrame, state: str = "state", attempts: str = "attempts", error: str = "error") -> DataFrame:
+    """After a crash: what was in flight is queued again, without attempts or error."""
+    lost = F.coalesce(F.col(state).isin(*IN_FLIGHT), F.lit(False))
+    return df.withColumns({error: F.when(~lost, F.col(error)), attempts: F.when(lost, 0).otherwise(F.col(attempts)), state: F.when(lost, "QUEUED").otherwise(F.col(state))})
+
+
+def reset_for_retry(df: DataFrame, state: str = "state", error: str = "error") -> DataFrame:
+    """Another try: permanent timeouts may be retried, and failures whose error is worth it are queued again."""
+    again = (F.col(state) == "FAILED") & is_retryable(error)
+    return df.withColumn(state, F.when(F.col(state) == "TIMEOUT_PERMANENT", "TIMEOUT_RETRYABLE").when(again, "QUEUED").otherwise(F.col(state)))
+
+
+def work_priority(state: Column | str, attempts: Column | str, most: int = 20) -> Column:
+    """0 for a timeout with tries left, 1 for what is queued, null for what is not to be done."""
+    s = _c(state)
+    return F.when((s == "TIMEOUT_RETRYABLE") & (F.coalesce(_c(attempts), F.lit(0)) < most), 0).when(s == "QUEUED", 1)
+
+
+def audit(facts: DataFrame, least_bytes: int = 1000) -> DataFrame:
+    """Adds finding: the first discrepancy of an acquired snapshot, null if there is none.
+
+    Facts: path, is_there, is_directory, commit, files, bytes, forbidden (a path), manifest_ok.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    none = lambda c: ~F.coalesce(F.col(c), F.lit(False))
+    finding = (
+        F.when(F.coalesce(F.col("path"), F.lit("")) == "", "no_path")
+        .when(none("is_there"), "missing")
+        .when(none("is_directory"), "not_a_directory")
+        .when(~name.eqNullSafe(F.col("commit")), "other_commit")
+        .when(F.coalesce(F.col("files"), F.lit(0)) == 0, "empty")
+        .when(F.coalesce(F.col("bytes"), F.lit(0)) <= least_bytes, "too_small")
+        .when(F.col("forbidden").isNotNull(), "forbidden_metadata")
+        .when(none("manifest_ok"), "manifest_differs")
+    )
+    return facts.withColumn("finding", finding)

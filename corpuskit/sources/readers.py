@@ -80,7 +80,7 @@ POST = T.StructType(
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    """Posts of an XML dump with one <row .../> each; files are split between tasks."""
+    """Posts of an XML dump: files with one root element and a <row .../> for each post."""
     rows = spark.read.format("xml").option("rowTag", "row").schema(POST).load(path)
     return rows.select(*[F.col(f.name).alias(f.name[1:]) for f in POST.fields])
 
@@ -147,6 +147,27 @@ def read_html(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(relative.alias("path"), F.decode("content", "UTF-8").alias("html"))
 
 
+def read_pages(spark: SparkSession, path: str, item: str, after: int = 0) -> DataFrame:
+    """Items of a paged source, one JSON file a page ({page, has_more, items}): of the pages after ``after`` up to the first
+    one without more, in the order of the pages. Pages that do not parse hold nothing."""
+    pages = read_json_documents(spark, path, f"page long, has_more boolean, items array<{item}>").filter(F.col("page") > after)
+    last = pages.filter(~F.coalesce("has_more", F.lit(False))).agg(F.min("page").alias("last"))
+    upto = pages.filter(F.coalesce(F.col("page") <= last.scalar(), F.lit(True)))
+    return upto.select("page", F.posexplode("items").alias("place", "item")).select("page", "place", "item.*")
+
+
+RELEASES = "struct<info: struct<name: string, version: string>, releases: map<string, array<struct<filename: string, packagetype: string, upload_time: string, yanked: boolean>>>>"
+
+
+def releases(documents: DataFrame, json_col: str = "json") -> DataFrame:
+    """package, version, release_ordinal, files: the releases of package index documents, in their order; for
+    ``packages.choose_distribution``. Documents that do not parse have none."""
+    d = documents.select(F.from_json(json_col, RELEASES).alias("d")).filter("d.info.name is not null and d.releases is not null")
+    rows = d.select(F.col("d.info.name").alias("package"), F.posexplode(F.map_entries("d.releases")).alias("release_ordinal", "r"))
+    files = F.transform("r.value", lambda f: F.struct(f["filename"].alias("filename"), f["packagetype"].alias("kind"), f["upload_time"].alias("upload_time"), f["yanked"].alias("yanked")))
+    return rows.select("package", F.col("r.key").alias("version"), F.col("release_ordinal").cast("long").alias("release_ordinal"), files.alias("files"))
+
+
 def archive_identity(members: DataFrame) -> DataFrame:
     """archive, package, version from the first PKG-INFO or METADATA member of each archive."""
     info = members.filter(F.col("member").rlike(r"(?:^|/)(?:PKG-INFO|METADATA)$"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,13 +60,27 @@ class TwoPhaseWriter:
     def _exists(self, at: str) -> bool:
         return self._fs.exists(self._path(at))
 
-    def _put(self, at: str, text: str) -> None:
-        out = self._fs.create(self._path(at), True)
-        out.write(bytearray(text.encode()))
-        out.close()
+    def put(self, at: str, content: str | bytes, tries: int = 4, wait: float = 0.2) -> None:
+        """A small file, written beside its place and renamed into it, with some tries; what is read back must be the same."""
+        data = content.encode() if isinstance(content, str) else content
+        beside = f"{at}.{uuid.uuid4().hex}.tmp"
+        for n in range(1, tries + 1):
+            try:
+                out = self._fs.create(self._path(beside), True)
+                out.write(bytearray(data))
+                out.close()
+                if self._exists(at):
+                    self._fs.delete(self._path(at), False)
+                if not self._fs.rename(self._path(beside), self._path(at)) or self._fs.getFileStatus(self._path(at)).getLen() != len(data):
+                    raise OSError(f"{at} was not written whole")
+                return
+            except Exception:  # noqa: BLE001 - the file system's exceptions come through the gateway
+                if n == tries:
+                    raise
+                time.sleep(wait * n)
 
     def freeze(self) -> None:
-        self._put(f"{self.root}/_FROZEN", "")
+        self.put(f"{self.root}/_FROZEN", "")
 
     def fingerprint(self, df: DataFrame) -> tuple[int, int]:
         """Rows and an order-free hash of them."""
@@ -73,16 +88,24 @@ class TwoPhaseWriter:
         r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("x")).first()
         return r.n, r.x
 
+    def stage(self, df: DataFrame, name: str) -> tuple[str, int, int]:
+        """The first phase: write the rows aside and note it; the place, and the fingerprint of what stands there."""
+        if self._exists(f"{self.root}/_FROZEN"):
+            raise Frozen(self.root)
+        stage = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(stage)
+        n, x = self.fingerprint(self.spark.read.parquet(stage))
+        self.put(f"{self.root}/_journal/{name}.json", json.dumps({"name": name, "stage": stage, "final": f"{self.root}/{name}", "rows": n, "hash": x, "state": "STAGED"}))
+        return stage, n, x
+
     def commit(self, df: DataFrame, name: str, replace: bool = False) -> None:
         if self._exists(f"{self.root}/_FROZEN"):
             raise Frozen(self.root)
-        final, stage = f"{self.root}/{name}", f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        final = f"{self.root}/{name}"
         if self._exists(final) and not replace:
             raise FileExistsError(final)
-        df.write.parquet(stage)
-        n, x = self.fingerprint(self.spark.read.parquet(stage))
+        stage, n, x = self.stage(df, name)
         journal = f"{self.root}/_journal/{name}.json"
-        self._put(journal, json.dumps({"name": name, "stage": stage, "final": final, "rows": n, "hash": x, "state": "STAGED"}))
         if replace and self._exists(final):
             self._fs.delete(self._path(final), True)
         self._fs.mkdirs(self._path(final).getParent())
@@ -90,7 +113,7 @@ class TwoPhaseWriter:
             raise OSError(f"{stage} could not be promoted")
         if self.fingerprint(self.spark.read.parquet(final)) != (n, x):
             raise OSError(f"{final} differs from what was staged")
-        self._put(journal, json.dumps({"name": name, "stage": stage, "final": final, "rows": n, "hash": x, "state": "COMMITTED"}))
+        self.put(journal, json.dumps({"name": name, "stage": stage, "final": final, "rows": n, "hash": x, "state": "COMMITTED"}))
 
     def classify(self) -> dict[str, str]:
         """name -> COMMITTED_FINAL_CLEANED, PROMOTED_UNVERIFIED, UNCOMMITTED_STAGING or AMBIGUOUS."""

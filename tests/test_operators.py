@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from corpuskit.functions import code_graph
 from corpuskit.operators import dedup, governance, joins, packages, qa, quality, repos
 from corpuskit.operators.components import connected_components
 from corpuskit.sources import readers, writers
@@ -150,6 +151,13 @@ def test_trees_states_and_leases(spark):
     assert rows(repos.check_transitions(events, "k", "s", ["t"], {"A": ["B"]}), "k", "t") == [("k", 3)]
     leases = spark.createDataFrame([("r", "p", 0, 10), ("r", "q", 5, 15), ("r", "q", 20, 30)], "r string, o string, s int, e int")
     assert rows(repos.lease_overlaps(leases, "r", "o", "s", "e")) == [("r", "q", 5, 15)]
+    many = [("r", "A", 0, 100), ("r", "B", 10, 50), ("r", "A", 20, 30), ("s", "A", 20, 30), ("r", "B", 100, 120), ("r", "C", 5, 5), ("r", "A", 3000, 9000), ("r", "B", 8500, 8501)]
+    found = repos.lease_overlaps(spark.createDataFrame(many, "r string, o string, s int, e int"), "r", "o", "s", "e")
+    assert rows(found) == [("r", "A", 20, 30), ("r", "B", 10, 50), ("r", "B", 8500, 8501), ("r", "C", 5, 5)]
+    work = spark.createDataFrame([(1, "FETCHING", 3, "x"), (2, "FAILED", 1, "Connection lost"), (3, "FAILED", 1, "bad"), (4, "TIMEOUT_PERMANENT", 20, None), (5, "TIMEOUT_RETRYABLE", 19, None), (6, "TIMEOUT_RETRYABLE", 20, None), (7, None, None, None)], "id int, state string, attempts int, error string")
+    assert rows(repos.reset_interrupted(work).filter("id in (1, 2)"), "id", "state", "attempts", "error") == [(1, "QUEUED", 0, None), (2, "FAILED", 1, "Connection lost")]
+    assert [r.state for r in repos.reset_for_retry(work).orderBy("id").collect()] == ["FETCHING", "QUEUED", "FAILED", "TIMEOUT_RETRYABLE", "TIMEOUT_RETRYABLE", "TIMEOUT_RETRYABLE", None]
+    assert [r[0] for r in work.orderBy("id").select(repos.work_priority("state", "attempts")).collect()] == [None, None, None, None, 0, None, None]
     errors = spark.createDataFrame([("Timeout!",), ("bad",), (None,)], "e string")
     assert [r[0] for r in errors.select(repos.is_retryable("e")).collect()] == [True, False, False]
 
@@ -169,6 +177,26 @@ def test_governance(spark):
     assert governance.reproducibility_manifest(infos, {"x": 1}).first().n_sources == 1
 
 
+def test_metadata_maps_and_steps(spark):
+    df = spark.createDataFrame([(1, True, "CLEAR"), (0, None, None), (None, None, None)], "v int, g boolean, l string")
+    got = [r[0] for r in df.select(governance.quality_metadata({"ast_valid": F.col("v"), "generated_or_vendor": F.col("g"), "license_status": F.col("l")})).collect()]
+    assert got == [{"ast_valid": "true", "generated_or_vendor": "true", "license_status": "CLEAR"}, {"ast_valid": "false"}, dict.fromkeys(["ast_valid", "ast_invalid", "license_status", "token_count_status"])]
+    maps = spark.createDataFrame([({"a": "1", "b": "2"}, {"b": "3", "c": None}), (None, {"x": "y"}), ({"x": "y"}, None)], "a map<string,string>, b map<string,string>")
+    assert [r[0] for r in maps.select(governance.merged(F.col("a"), F.col("b"))).collect()] == [{"a": "1", "b": "3", "c": None}, {"x": "y"}, {"x": "y"}]
+    ran = governance.run_steps(spark, [("good", lambda: None), ("bad", lambda: 1 / 0), ("after", lambda: 2)]).collect()
+    assert [(r.name, r.ok, r.error) for r in ran] == [("good", True, None), ("bad", False, "ZeroDivisionError"), ("after", True, None)]
+    assert [r[0] for r in df.select(governance.all_hold({"v": F.col("v") == 1, "g": F.col("g")})).collect()] == [True, False, False]
+
+
+def test_relations_of_code(spark):
+    source = "import a.b, c\nfrom . import d\nfrom e import *\nclass A(B, c.C):\n    def f(self):\n        import g\ndef h(): pass\n"
+    assert set(code_graph.relations(source)) == {("", "imports", x) for x in ("a.b", "c", ".d", "e", "g")} | {
+        ("", "defines_class", "A"), ("A", "inherits", "B"), ("A", "inherits", "c.C"), ("A", "defines_function", "A.f"), ("", "defines_function", "h"),
+    }
+    df = spark.createDataFrame([(1, source), (2, None), (3, "x ="), (4, "import z")], "id long, code string")
+    assert rows(code_graph.code_relations(df, "id", "code").filter("id > 1")) == [(4, "", "imports", "z")]
+
+
 def test_readers_and_writers(spark, tmp_path):
     at = str(tmp_path)
     (tmp_path / "a.jsonl").write_text('{"x": 1}\n\nnot json\n{"x": 2}\n')
