@@ -324,5 +324,7 @@ def greedy_survivors(records: DataFrame, pairs: DataFrame, id_col: str, score_co
     return alone.unionByName(survivors)
 
 
-def by_policy(policy: str) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in POLICIES[policy]]
+def kept_by(policy: str, id_col: str) -> Column:
+    """Aggregate: the id that a policy keeps of a group; what is unknown comes last, ties go to the least id."""
+    place = [x for c in POLICIES[policy] for x in (F.col(c).isNull(), F.col(c))]
+    return F.min_by(id_col, F.struct(*place, F.col(id_col)))

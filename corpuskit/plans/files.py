@@ -97,7 +97,8 @@ def q_posts(spark: SparkSession, d: str) -> DataFrame:
 
     def dump(batches):
         yield pa.RecordBatch.from_arrays([pa.array(['<?xml version="1.0" encoding="utf-8"?>', "<posts>"])], ["value"])
-        yield from batches
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("value")], ["value"])
         yield pa.RecordBatch.from_arrays([pa.array(["</posts>"])], ["value"])
 
     asked.union(said).mapInArrow(dump, "value string").write.text(at)
