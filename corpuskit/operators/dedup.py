@@ -84,39 +84,76 @@ def _groups(batches, keys: list[str], cols: list[str]):
         yield key, [np.concatenate(x) for x in zip(*held)]
 
 
+class _Bands:
+    """Bands of 64-bit fingerprints; with more of them than differing bits, two alike fingerprints agree in one."""
+
+    def __init__(self, max_distance: int, bands: int):
+        if bands <= max_distance:
+            raise ValueError("more bands than differing bits are needed")
+        edges = [i * 64 // bands for i in range(bands + 1)]
+        self.most, self.cuts = max_distance, list(zip(edges, edges[1:]))
+        self.masks = [np.uint64(((1 << (hi - lo)) - 1) << lo) for lo, hi in self.cuts]
+
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """The rows (with a column h) once for each band, those that agree in it in one task and in order."""
+        cuts = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("h", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("v")) for i, (lo, hi) in enumerate(self.cuts)])
+        banded = rows.select("*", F.explode(cuts).alias("b")).select(*rows.columns, "b.band", "b.v")
+        return banded.repartition(_tasks(rows), "band", "v").sortWithinPartitions("band", "v")
+
+    def near(self, band: int, prints: np.ndarray):
+        """Places i < j of fingerprints that differ in few bits and agree in no band before this one, and the bits, in blocks."""
+        for at in range(0, len(prints), step := max(1, _BLOCK // len(prints))):
+            x = prints[at : at + step, None] ^ prints[None, at:]
+            i, j = np.nonzero(np.bitwise_count(x) <= self.most)
+            i, j = i[i < j], j[i < j]
+            differ = x[i, j]
+            first = np.ones(len(i), bool)
+            for mask in self.masks[:band]:
+                first &= (differ & mask) != 0
+            yield i[first] + at, j[first] + at, np.bitwise_count(differ[first]).astype(np.int64)
+
+
 def simhash_pairs(df: DataFrame, id_col: str, hash_col: str, max_distance: int = 9, bands: int = 10) -> DataFrame:
     """id_a < id_b of records whose fingerprints differ in max_distance bits at most; bands > max_distance make it exact.
 
     Records that agree in a band meet in one task, sorted, and are compared in blocks; a pair is emitted in the first band
-    that it agrees in, so pairs, of which there can be far more than records, are never shuffled.
+    that it agrees in, so pairs, of which there can be far more than records, are never shuffled. For records alone,
+    ``simhash_links`` counts them instead.
     """
-    if bands <= max_distance:
-        raise ValueError("more bands than differing bits are needed")
+    of = _Bands(max_distance, bands)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(hash_col).alias("h")).filter("id is not null and h is not null").distinct()
-    edges = [i * 64 // bands for i in range(bands + 1)]
-    cuts = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("h", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("v")) for i, (lo, hi) in enumerate(zip(edges, edges[1:]))])
-    banded = rows.select("id", "h", F.explode(cuts).alias("b")).select("id", "h", "b.band", "b.v")
-    masks = [np.uint64(((1 << (hi - lo)) - 1) << lo) for lo, hi in zip(edges, edges[1:])]
-
-    def near(band: int, ids: np.ndarray, prints: np.ndarray):
-        for at in range(0, len(ids), step := max(1, _BLOCK // len(ids))):
-            x = prints[at : at + step, None] ^ prints[None, at:]
-            i, j = np.nonzero(np.bitwise_count(x) <= max_distance)
-            i, j = i[i < j], j[i < j]
-            differ = x[i, j]
-            first = np.ones(len(i), bool)
-            for mask in masks[:band]:
-                first &= (differ & mask) != 0
-            i, j, differ = i[first] + at, j[first] + at, differ[first]
-            for k in range(0, len(i), 1 << 16):
-                one, two = ids[i[k : k + (1 << 16)]], ids[j[k : k + (1 << 16)]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(np.bitwise_count(differ[k : k + (1 << 16)]).astype(np.int64))], ["id_a", "id_b", "distance"])
 
     def run(batches):
         for (band, _), (ids, prints) in _groups(batches, ["band", "v"], ["id", "h"]):
-            yield from near(band, ids, prints.view(np.uint64))
+            for i, j, differ in of.near(band, prints.view(np.uint64)):
+                for k in range(0, len(i), 1 << 16):
+                    one, two = ids[i[k : k + (1 << 16)]], ids[j[k : k + (1 << 16)]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(differ[k : k + (1 << 16)])], ["id_a", "id_b", "distance"])
+
+    return of.spread(rows).mapInArrow(run, "id_a long, id_b long, distance long")
+
+
+def simhash_links(df: DataFrame, id_col: str, hash_col: str, max_distance: int = 9, bands: int = 10) -> DataFrame:
+    """One row per record: id, class_id (least id of its fingerprint), n_links (records whose fingerprint differs in
+    max_distance bits at most, itself not counted). Exact.
+
+    Only different fingerprints are compared, each with the number of its records; links are counted where they are found.
+    """
+    of = _Bands(max_distance, bands)
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(hash_col).alias("h")).filter("id is not null and h is not null").distinct()
+    prints = cut_lineage(rows.groupBy("h").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")))
+
+    def run(batches):
+        for (band, _), (h, n) in _groups(batches, ["band", "v"], ["h", "n"]):
+            links = np.zeros(len(h), np.int64)
+            for i, j, _ in of.near(band, h.view(np.uint64)):
+                links += np.bincount(i, n[j], len(h)).astype(np.int64) + np.bincount(j, n[i], len(h)).astype(np.int64)
+            some = np.flatnonzero(links)
+            yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(links[some])], ["h", "links"])
 
-    return banded.repartition(_tasks(df), "band", "v").sortWithinPartitions("band", "v").mapInArrow(run, "id_a long, id_b long, distance long")
+    found = of.spread(prints.select("h", "n")).mapInArrow(run, "h long, links long").groupBy("h").agg(F.sum("links").alias("links"))
+    of_print = prints.join(found, "h", "left").select("h", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return rows.join(of_print, "h").select("id", "class_id", "n_links")
 
 
 def trigram_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
@@ -126,9 +163,11 @@ def trigram_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float =
     their first |A| - ceil(t |A|) + 1. Texts are joined on those, rarest first, within similar sizes; equal trigram sets
     stand for all their texts.
     """
-    rows = with_trigrams(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", "set").filter("id is not null and size(set) > 0")
-    rows = rows.select("id", F.array_sort("set").alias("set"))
-    keyed = rows.withColumn("k", F.xxhash64("set"))
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = with_trigrams(texts, "text", "set").filter("id is not null and size(set) > 0")
+    # A trigram is three characters, so it is known by 64 bits for sure.
+    code = lambda g: F.ascii(g).cast("long") + F.shiftleft(F.ascii(F.substr(g, F.lit(2))).cast("long"), 21) + F.shiftleft(F.ascii(F.substr(g, F.lit(3))).cast("long"), 42)
+    keyed = cut_lineage(rows.select("id", F.array_sort(F.transform("set", code)).alias("set")).withColumn("k", F.xxhash64("set")))
     sets = keyed.groupBy("k").agg(F.any_value("set").alias("set")).withColumn("n", F.size("set"))
     grams = sets.select("k", "n", F.explode("set").alias("g"))
     frequency = grams.groupBy("g").agg(F.count(F.lit(1)).alias("df"))

@@ -229,17 +229,12 @@ def q_simhash(spark: SparkSession, d: str) -> DataFrame:
     return similarity.simhash(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query(f"WITH {_SIM} SELECT x.doc_id AS id_a, y.doc_id AS id_b, bit_count(xor(x.u, y.u))::BIGINT AS distance FROM s x JOIN s y ON x.doc_id < y.doc_id WHERE bit_count(xor(x.u, y.u)) <= 3")
-def q_simhash_pairs(spark: SparkSession, d: str) -> DataFrame:
+@query(f"""WITH {_SIM}, l AS (SELECT x.doc_id, count(*) AS n FROM s x JOIN s y ON x.doc_id <> y.doc_id AND bit_count(xor(x.u, y.u)) <= 9 GROUP BY 1)
+SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY u) AS class_id, coalesce(n, 0) AS n_links FROM s LEFT JOIN l USING (doc_id)""")
+def q_simhash_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with the number of those of a similarity of 0.85 or more (9 differing bits)."""
     prints = cut_lineage(similarity.simhash(table(spark, d, "documents"), "doc_id", "text"))
-    return dedup.simhash_pairs(prints, "doc_id", "simhash", 3, 4)
-
-
-@query(f"WITH {_SIM} SELECT x.doc_id AS id_a, y.doc_id AS id_b, bit_count(xor(x.u, y.u))::BIGINT AS distance FROM s x JOIN s y ON x.doc_id < y.doc_id WHERE bit_count(xor(x.u, y.u)) <= 9")
-def q_simhash_similar_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Every pair of a similarity of 0.85 or more: the rule of the survey (J7), of which q_simhash_pairs is the part within 3 bits."""
-    prints = cut_lineage(similarity.simhash(table(spark, d, "documents"), "doc_id", "text"))
-    return dedup.simhash_pairs(prints, "doc_id", "simhash")
+    return dedup.simhash_links(prints, "doc_id", "simhash")
 
 
 _TRI = r"""t AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda k: x[k:k + 2]))) AS g
