@@ -109,16 +109,25 @@ class _Scan:
     Pre-tokens are held for a segment of the text at a time, their places as numbers.
     """
 
-    def __init__(self, bpe: Bpe, text: str, window: int, every: int, part_tokens: int, segment: int):
+    def __init__(self, bpe: Bpe, text: str, window: int, every: int, part_tokens: int, segment: int, known: tuple[list, list] | None = None):
         tokens, chars, ranks, marks = [], [], [], []
         line, tail, seen = False, np.zeros(0, np.uint64), 0
         for part, after in _segments(text, segment):
-            pieces = bpe.pieces(part)
-            counts = bpe.piece_counts(pieces)
-            if max(counts) > part_tokens:
-                cut = [_parts(bpe, p) if n > part_tokens else ([p], [n]) for p, n in zip(pieces, counts)]
-                pieces, counts = [p for ps, _ in cut for p in ps], [n for _, ns in cut for n in ns]
-            tokens.append(np.fromiter(counts, np.int64, len(counts)))
+            pieces, counts = known or (bpe.pieces(part), None)
+            n_tokens = np.array(counts or bpe.piece_counts(pieces), np.int64)
+            large = np.flatnonzero(n_tokens > part_tokens).tolist()
+            if large:
+                whole, old, done, new = pieces, n_tokens, 0, []
+                pieces = []
+                for k in large:
+                    ps, ns = _parts(bpe, whole[k])
+                    pieces += whole[done:k]
+                    pieces += ps
+                    new += [old[done:k], ns]
+                    done = k + 1
+                pieces += whole[done:]
+                n_tokens = np.concatenate([*new, old[done:]]).astype(np.int64)
+            tokens.append(n_tokens)
             chars.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
             rank, line = _ranks(pieces, line, after)
             ranks.append(rank)
@@ -158,9 +167,14 @@ def split_text(
     """Pieces as (start_char, end_char, start_token, end_token); none for a text that is not oversized."""
     if not text or len(text.encode("utf-8", "surrogatepass")) <= max_tokens:
         return []  # every token is a byte at least
-    if len(text) <= segment and bpe.count(text) <= max_tokens:
-        return []
-    scan = _Scan(bpe, text, window, every, max(1, min(8, max_tokens // 8)), segment)
+    known = None
+    if len(text) <= segment:
+        pieces = bpe.pieces(text)
+        counts = bpe.piece_counts(pieces)
+        known = pieces, counts
+        if sum(counts) <= max_tokens:
+            return []
+    scan = _Scan(bpe, text, window, every, max(1, min(8, max_tokens // 8)), segment, known)
     token, char, rank, marks = scan.token, scan.char, scan.rank, scan.marks
     total = int(token[-1])
     if total <= max_tokens:
