@@ -199,12 +199,12 @@ def style_violations(source: str | None, max_line: int = 79, found: tuple[list,
     return n
 
 
-def with_validation(df: DataFrame, code_col: str, out_col: str = "validation", measures: bool = True, once_by: str | None = None, keep_code: bool = True) -> DataFrame:
+def with_validation(df: DataFrame, code_col: str, out_col: str = "validation", measures: bool = True, once_by: str | None = None, keep_code: bool = True, is_spread: bool = False) -> DataFrame:
     """``df`` with a struct column of VALIDATION_SCHEMA, and (``measures``) token_count and pep8_violations.
 
     One pass over Arrow batches and over the tokens of a source; the other columns go through Python untouched, so project
     first. With ``once_by``, a key of the code, a repeated key within a task has nulls in place of what was measured before;
-    without ``keep_code`` the code itself is left out.
+    without ``keep_code`` the code itself is left out. A frame that ``is_spread`` over the cores is not spread again.
     """
     if not keep_code:
         df = df.select(*[c for c in df.columns if c != code_col], code_col)
@@ -235,7 +235,7 @@ def with_validation(df: DataFrame, code_col: str, out_col: str = "validation", m
                 labels += ["token_count", "pep8_violations"]
             yield pa.RecordBatch.from_arrays(out, labels)
 
-    return spread(df).mapInArrow(run, f"{columns}, `{out_col}` {VALIDATION_SCHEMA}{extra}")
+    return (df if is_spread else spread(df)).mapInArrow(run, f"{columns}, `{out_col}` {VALIDATION_SCHEMA}{extra}")
 
 
 def failure_reason(validation: str = "validation"):

@@ -140,12 +140,12 @@ def q_code_funnel(spark: SparkSession, d: str) -> DataFrame:
     content has the bucket of its own code, the others are duplicates.
     """
     code = F.col("code")
-    rows = table(spark, d, "python_tutorial_code").select("record_id", (code.isNull() | (text.strip(code) == "")).alias("is_blank"), text.exact_hash("code").alias("h"), F.unhex(F.md5("code")).alias("k"), "code")
-    blank = rows.filter("is_blank").agg(F.countDistinct("record_id").alias("n")).select(F.lit("syntax_invalid").alias("bucket"), "n")
+    rows = spread(table(spark, d, "python_tutorial_code").select("record_id", "code")).select("record_id", (code.isNull() | (text.strip(code) == "")).alias("is_blank"), text.exact_hash("code").alias("h"), F.unhex(F.md5("code")).alias("k"), "code")
     v = F.col("validation")
-    measured = python_source.with_validation(rows.filter("not is_blank").drop("is_blank"), "code", once_by="k", keep_code=False)
+    measured = python_source.with_validation(rows, "code", once_by="k", keep_code=False, is_spread=True)
     named = quality.measured_bucket(v["is_valid"], F.col("token_count"), v["comment_ratio"], F.col("pep8_violations"))
-    seen = cut_lineage(measured.select("record_id", "h", "k", F.when(v.isNotNull(), named).alias("bucket")))
+    every = cut_lineage(measured.select("record_id", "is_blank", "h", "k", F.when(v.isNotNull(), named).alias("bucket")))
+    blank, seen = every.filter("is_blank").agg(F.countDistinct("record_id").alias("n")).select(F.lit("syntax_invalid").alias("bucket"), "n"), every.filter("not is_blank")
     firsts = seen.groupBy("h", "record_id").agg(F.min("k").alias("k")).groupBy("h").agg(F.min_by("k", "record_id").alias("k"), F.count(F.lit(1)).alias("n"))
     buckets = seen.filter("bucket is not null").groupBy("k").agg(F.max("bucket").alias("bucket"))
     one = firsts.join(buckets, "k").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
