@@ -122,11 +122,6 @@ class TokenBudget:
     def __init__(self, spark: SparkSession, path: str, directory: str = TOKENIZER_DIR, name: str = BYTE_BPE_50K):
         self.spark, self.path, self.directory, self.name, self.version = spark, path.rstrip("/"), directory, name, 0
 
-    def _read(self, what: str, of: DataFrame) -> DataFrame:
-        """A table of the last version; before the first one an empty table like ``of``."""
-        at = f"{self.path}/{what}"
-        return self.spark.read.parquet(at if what == "counts" else f"{at}/{self.version}") if self.version else of.limit(0)
-
     @property
     def counts(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/counts")
@@ -139,15 +134,16 @@ class TokenBudget:
         """Make ``rows`` (of ``items``) the corpus; returns its cube."""
         known = self.counts if self.version else None
         count_tokens(rows, known, self.directory, self.name).write.mode("append" if self.version else "overwrite").parquet(f"{self.path}/counts")
-        new = membership(rows)
-        old = self._read("members", new)
-        new.write.mode("overwrite").parquet(f"{self.path}/members/{self.version + 1}")
+        membership(rows).write.mode("overwrite").parquet(f"{self.path}/members/{self.version + 1}")
         new = self.spark.read.parquet(f"{self.path}/members/{self.version + 1}")
         of = tokenizer_hash(self.directory, self.name)
         # A content counted twice, by an update done again, has one count.
         counts = self.counts.filter(F.col("tokenizer_hash") == of).groupBy("content_hash").agg(F.max("n_tokens").alias("n_tokens"))
-        delta = cube_delta(old, new, counts)
-        apply_delta(self._read("cube", delta), delta).write.mode("overwrite").parquet(f"{self.path}/cube/{self.version + 1}")
+        if self.version:
+            totals = apply_delta(self.cube, cube_delta(self.spark.read.parquet(f"{self.path}/members/{self.version}"), new, counts))
+        else:
+            totals = cube(new, counts)
+        totals.write.mode("overwrite").parquet(f"{self.path}/cube/{self.version + 1}")
         self.version += 1
         return self.cube
 
