@@ -169,6 +169,13 @@ _DRAWN = f"""{_FILLED}, o AS (SELECT mix_id, source, chars, size, CASE WHEN size
 u AS (SELECT mix_id, o.source, record_id, recs.chars, whole, o.chars - whole * size AS rest, ('0x' || substr(md5('7|' || mix_id || '|' || record_id), 1, 15))::BIGINT AS u FROM o JOIN recs USING (source)),
 s AS (SELECT *, whole + CASE WHEN sum(chars) OVER (PARTITION BY mix_id, source ORDER BY u % 4096, u, record_id) <= rest THEN 1 ELSE 0 END AS repeats FROM u)"""
 
+_SIMILAR = r"""r AS (SELECT DISTINCT record_id, code, regexp_replace(lower(code), '[^\p{L}\p{N}\s]', '', 'g') AS x
+           FROM python_tutorial_code WHERE length(code) >= 200),
+g AS (SELECT record_id, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda k: x[k:k + 2]))) AS t FROM r WHERE length(x) > 2),
+n AS (SELECT record_id, count(*) AS n FROM g GROUP BY 1),
+p AS (SELECT a.record_id AS ra, b.record_id AS rb, count(*) AS c FROM g a JOIN g b ON a.t = b.t AND a.record_id < b.record_id GROUP BY 1, 2),
+q AS MATERIALIZED (SELECT ra, rb FROM p JOIN n x ON x.record_id = ra JOIN n y ON y.record_id = rb WHERE c::DOUBLE / (x.n + y.n - c) > 0.85)"""
+
 ORACLE_SQL = {
     "p5_plan": f"WITH {_FILLED} SELECT mix_id, source, round(share, 9) AS share, size, status, clamped, round(chars, 3) AS chars FROM f",
     "p5_sample": f"WITH {_DRAWN} SELECT mix_id, source, record_id, chars, repeats::INTEGER AS repeats FROM s WHERE repeats > 0",
@@ -185,11 +192,9 @@ v AS (SELECT item_id AS id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM
 a AS (SELECT DISTINCT id, g FROM (SELECT id, list(x) OVER s AS g, count(*) OVER s AS n FROM w WINDOW s AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) WHERE n = 13),
 b AS (SELECT DISTINCT id, g FROM (SELECT id, list(x) OVER s AS g, count(*) OVER s AS n FROM v WINDOW s AS (PARTITION BY id ORDER BY k ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) WHERE n = 13)
 SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM a JOIN b USING (g)""",
-    "p2_found": r"""WITH r AS (SELECT DISTINCT record_id, regexp_replace(lower(code), '[^\p{L}\p{N}\s]', '', 'g') AS x
-           FROM python_tutorial_code WHERE length(code) >= 200),
-g AS (SELECT record_id, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda k: x[k:k + 2]))) AS t FROM r WHERE length(x) > 2),
-n AS (SELECT record_id, count(*) AS n FROM g GROUP BY 1),
-p AS (SELECT a.record_id AS ra, b.record_id AS rb, count(*) AS c FROM g a JOIN g b ON a.t = b.t AND a.record_id < b.record_id GROUP BY 1, 2)
-SELECT ra AS record_id_a, rb AS record_id_b FROM p JOIN n x ON x.record_id = ra JOIN n y ON y.record_id = rb
-WHERE c::DOUBLE / (x.n + y.n - c) > 0.85""",
+    "p2_found": f"""WITH {_SIMILAR} SELECT ra AS record_id_a, rb AS record_id_b FROM q""",
+    "p2_groups": f"""WITH RECURSIVE {_SIMILAR}, l AS (SELECT ra, rb FROM q UNION ALL SELECT rb, ra FROM q),
+c AS (SELECT record_id, count(*) OVER (PARTITION BY code) AS copies FROM r),
+reach AS (SELECT record_id AS a, record_id AS b FROM r UNION SELECT reach.a, l.rb FROM reach JOIN l ON reach.b = l.ra)
+SELECT c.record_id, (SELECT min(b) FROM reach WHERE a = c.record_id) AS class_id, copies, (SELECT count(*) FROM l WHERE ra = c.record_id) AS links FROM c""",
 }
