@@ -52,12 +52,12 @@ def word_hash(w: Column) -> Column:
 def simhash(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id and simhash: for each bit the majority of the words' hashes (a tie gives 0). Texts without words have no row.
 
-    Words are exploded and the 64 bit counts summed, so counting is combined before the shuffle.
+    Words are exploded and the 64 bit counts summed within a task, so one row of counts a text is shuffled, no words.
     """
     rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))).select("id", F.explode(simhash_words("t")).alias("w"))
-    hashed = rows.groupBy("id", "w").agg(F.count(F.lit(1)).alias("c")).select("id", "c", word_hash(F.col("w")).alias("h"))
-    sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1)) * F.col("c")).alias(f"b{b}") for b in range(64)]
-    counted = hashed.groupBy("id").agg(F.sum("c").alias("n"), *sums)
+    hashed = rows.select("id", word_hash(F.col("w")).alias("h"))
+    sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]
+    counted = hashed.groupBy("id").agg(F.count(F.lit(1)).alias("n"), *sums)
     out = F.lit(0).cast("long")
     for b in range(64):
         value = (1 << b) if b < 63 else -(1 << 63)
