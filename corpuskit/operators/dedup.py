@@ -11,8 +11,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from corpuskit.functions.similarity import trigram_text, with_trigrams
+from corpuskit.functions.similarity import trigram_text
+from corpuskit.operators import alike
 from corpuskit.operators.components import connected_components
 from corpuskit.session import cut_lineage, spread
 
@@ -156,35 +159,78 @@ def simhash_links(df: DataFrame, id_col: str, hash_col: str, max_distance: int =
     return rows.join(of_print, "h").select("id", "class_id", "n_links")
 
 
+#: Records of one text that travel together; more of them are several rows.
+_COPIES = 512
+#: Sets of more trigrams are compared by their sketches.
+_SHORT = 256
+
+
 def trigram_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
     """id_a < id_b and similarity of texts whose trigram sets have a Jaccard similarity above the threshold. Exact.
 
-    Prefix filter: with the trigrams of a text in the order of their document frequency, two similar texts share one of
-    their first |A| - ceil(t |A|) + 1. Texts are joined on those, rarest first, within similar sizes; equal trigram sets
-    stand for all their texts.
+    Prefix filter: with the trigrams of a text rarest first (any order is exact), two similar texts share one of their
+    first |A| - ceil(t |A|) + 1. A text goes to the tasks of those, with the ids of its records; it is compared there on
+    the whole set, and a pair is given at the first trigram that its texts share. So candidates and pairs, of which there
+    can be far more than texts, are never shuffled. A text travels once for each trigram of its prefix, so this is for
+    short texts; pairs with a long one are found as whole texts are. The driver collects the trigrams' counts by bucket.
     """
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = with_trigrams(texts, "text", "set").filter("id is not null and size(set) > 0")
-    # A trigram is three characters, so it is known by 64 bits for sure.
-    code = lambda g: F.ascii(g).cast("long") + F.shiftleft(F.ascii(F.substr(g, F.lit(2))).cast("long"), 21) + F.shiftleft(F.ascii(F.substr(g, F.lit(3))).cast("long"), 42)
-    keyed = cut_lineage(rows.select("id", F.array_sort(F.transform("set", code)).alias("set")).withColumn("k", F.xxhash64("set")))
-    sets = keyed.groupBy("k").agg(F.any_value("set").alias("set")).withColumn("n", F.size("set"))
-    grams = sets.select("k", "n", F.explode("set").alias("g"))
-    frequency = grams.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    ranked = grams.join(frequency, "g").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("all"))
-    length = F.col("n") - F.ceil(F.col("n") * threshold).cast("int") + 1
-    prefix = ranked.select("k", "n", F.explode(F.slice("all", F.lit(1), length)).alias("p")).select("k", "n", F.col("p.g").alias("g"))
-    one, two = prefix.withColumnsRenamed({"k": "a", "n": "na"}), prefix.withColumnsRenamed({"k": "b", "n": "nb"})
-    fits = (F.col("a") < F.col("b")) & (F.least("na", "nb") > F.greatest("na", "nb") * threshold)
-    candidates = one.join(two, "g").filter(fits).select("a", "b").distinct()
-    s1, s2 = sets.select(F.col("k").alias("a"), F.col("set").alias("sa")), sets.select(F.col("k").alias("b"), F.col("set").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    scored = candidates.join(s1, "a").join(s2, "b").select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("similarity")).filter(F.col("similarity") > threshold)
-    left, right = keyed.select(F.col("k").alias("a"), F.col("id").alias("x")), keyed.select(F.col("k").alias("b"), F.col("id").alias("y"))
-    apart = scored.join(left, "a").join(right, "b").select("x", "y", "similarity")
-    same = left.join(right, F.col("a") == F.col("b")).filter("x < y").select("x", "y", F.lit(1.0).alias("similarity"))
-    both = apart.unionByName(same)
-    return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity").filter("id_a < id_b").distinct()
+    kind = df.schema[id_col].dataType
+    rows = df.select(F.col(id_col).alias("id"), trigram_text(text_col).alias("t")).filter("id is not null and length(t) >= 3")
+    copies = rows.repartition(_tasks(df), "t").groupBy("t").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    parts = F.transform(F.sequence(F.lit(0), F.size("ids") - 1, F.lit(_COPIES)), lambda k: F.slice("ids", k + 1, F.lit(_COPIES)))
+    texts = cut_lineage(copies.select("t", F.explode(parts).alias("ids")))
+
+    def count(batches):
+        n = np.zeros(alike.BUCKETS, np.int64)
+        for batch in batches:
+            for part in alike.pieces(batch, "t"):
+                n += np.bincount(alike.bucket(alike.trigrams(part.column("t").to_pylist())[1]), minlength=alike.BUCKETS)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(n[some])], ["b", "n"])
+
+    often = np.zeros(alike.BUCKETS, np.int64)
+    for b, n in texts.select("t").mapInArrow(count, "b long, n long").groupBy("b").agg(F.sum("n")).collect():
+        often[b] = n
+    rank = np.empty(alike.BUCKETS, np.int32)
+    rank[np.argsort(often, kind="stable")] = np.arange(alike.BUCKETS, dtype=np.int32)
+
+    def prefix(batches):
+        for batch in batches:
+            for part in alike.pieces(batch, "t"):
+                own = alike.prefixes(part.column("t").to_pylist(), rank, threshold, _SHORT)
+                grams = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate(own)))
+                yield pa.RecordBatch.from_arrays([part.column("t"), part.column("ids"), grams], ["t", "ids", "grams"])
+
+    kinds = StructType([*texts.schema.fields, StructField("grams", ArrayType(LongType()))])
+    sent = texts.mapInArrow(prefix, kinds).select(F.explode("grams").alias("g"), "t", "ids")
+
+    def pairs(batches):
+        for a, b, similarity in alike.pairs(batches, rank, threshold):
+            yield pa.RecordBatch.from_arrays([pa.array(a, to_arrow_type(kind)), pa.array(b, to_arrow_type(kind)), pa.array(similarity)], ["id_a", "id_b", "similarity"])
+
+    out = StructType([StructField("id_a", kind), StructField("id_b", kind), StructField("similarity", DoubleType())])
+    found = sent.repartition(_tasks(df), "g").sortWithinPartitions("g").mapInArrow(pairs, out)
+    if not texts.filter(F.length("t") > _SHORT + 2).isEmpty():
+        found = found.unionByName(_long_pairs(texts, threshold))
+    # An id with several texts can have the same pair from each of them.
+    several = texts.select(F.explode("ids").alias("id")).groupBy("id").count().filter("count > 1")
+    return found if several.isEmpty() else found.distinct()
+
+
+def _long_pairs(texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of trigram_pairs in which a set has more than _SHORT trigrams."""
+    rows = cut_lineage(texts.filter(F.length("t") - 2 > _SHORT * threshold).withColumn("k", F.monotonically_increasing_id()))
+    classes = text_classes(rows, "k", "t", threshold).filter(F.col("n") > _SHORT * threshold)
+    one = rows.join(classes, rows.k == classes.id).select(F.col("k").alias("id_a"), F.col("n").alias("na"), F.col("ids").alias("x"))
+    two = one.withColumnsRenamed({"id_a": "id_b", "na": "nb", "x": "y"})
+    apart = with_copies(class_pairs(rows, classes, "k", "t", threshold), classes).join(one, "id_a").join(two, "id_b")
+    same = one.withColumns({"id_b": F.col("id_a"), "nb": F.col("na"), "y": F.col("x"), "similarity": F.lit(1.0)})
+    both = apart.select("id_a", "id_b", F.explode("x").alias("x"), "y", "similarity", F.greatest("na", "nb").alias("n")).unionByName(
+        same.select("id_a", "id_b", F.explode("x").alias("x"), "y", "similarity", F.col("na").alias("n"))
+    )
+    pairs = both.filter((F.col("n") > _SHORT) & (F.col("similarity") > threshold)).select("id_a", "id_b", "x", F.explode("y").alias("y"), "similarity")
+    once = F.when(F.col("id_a") == F.col("id_b"), F.col("x") < F.col("y")).otherwise(F.col("x") != F.col("y"))
+    return pairs.filter(once).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
 
 
 def _codes(text: str) -> np.ndarray:

@@ -5,11 +5,13 @@ import shutil
 import tarfile
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpuskit.functions import code_graph
-from corpuskit.operators import dedup, governance, joins, packages, qa, quality, repos
+from corpuskit.operators import alike, dedup, governance, joins, packages, qa, quality, repos
 from corpuskit.operators.components import connected_components
 from corpuskit.sources import readers, writers
 from corpuskit.streaming import jobs
@@ -74,6 +76,70 @@ def test_pairs_against_brute_force(spark):
     assert {r.id for r in dedup.greedy_survivors(records, pairs, "id", "score", "place").collect()} == set(kept)
 
 
+def test_trigram_pairs_shuffle_texts_and_no_pairs(spark):
+    sites, words = ["one-guide", "two-press", "six-notes"], ["buffer", "velvet", "rabbit"]
+    urls = [(i, f"https://{s}.example/{w}/{k}") for i, (s, w, k) in enumerate((s, w, k) for s in sites for w in words for k in range(100, 200))]
+    urls += [(9000 + i, urls[7][1]) for i in range(600)] + [(9700, "https://two-press.example/one-guide"), (9701, "HTTPS://Two-Press.example/one.guide"), (9800, None), (9801, "a-b"), (9802, "")]
+    urls += [(9900, "xyxyxy1"), (9901, "xyxyxyxyxy1"), (9902, urls[3][1]), (9902, urls[4][1]), (9902, urls[3][1]), (None, urls[3][1])]
+    tri = [(i, frozenset(n[k : k + 3] for k in range(len(n) - 2))) for i, u in urls if i is not None and u and len(n := "".join(c for c in u.lower() if c.isalnum())) > 2]
+    of = {}
+    for i, t in tri:
+        of.setdefault(t, set()).add(i)
+    want = set()
+    for x, some in of.items():
+        for y, others in of.items():
+            if (s := len(x & y) / len(x | y)) > 0.85:
+                want |= {(a, b, s) for a in some for b in others if a < b}
+
+    def shuffled():
+        store, none = spark._jsc.sc().statusStore(), spark._jvm.java.util.ArrayList()
+        stages = store.stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none)
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    for some in (urls, [(i, u) for i, u in urls if i != 9902]):
+        before = shuffled()
+        got = [tuple(r) for r in dedup.trigram_pairs(spark.createDataFrame(some, "id long, t string"), "id", "t").collect()]
+        assert len(got) == len(set(got)) and set(got) == {p for p in want if len(some) == len(urls) or 9902 not in p[:2]}
+    assert len(got) > 200_000 and shuffled() - before < 20 * len(urls)
+    named = spark.createDataFrame([(str(i), u) for i, u in urls[:40]], "id string, t string")
+    assert {tuple(r) for r in dedup.trigram_pairs(named, "id", "t").collect()} == {(min(str(a), str(b)), max(str(a), str(b)), s) for a, b, s in want if max(a, b) < 40}
+
+
+def test_trigram_pairs_of_long_texts_beside_short_ones(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    texts = []
+    for n in [5, 20] * 4 + [36, 37, 38, 39, 40, 41] * 2 + [300] * 3:
+        base = [rng.choice(words) for _ in range(n)]
+        texts += [" ".join(base), " ".join(base), *(" ".join([*base, *rng.sample(words, k)]) for k in (1, 2, 3)), " ".join(base[: n - 1 - n // 20])]
+    texts += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60_000)), None]
+    texts += [texts[-7]] * 520
+    tri = [{t[k : k + 3] for k in range(len(t) - 2)} if t else set() for t in texts]
+    of = {}
+    for i, t in enumerate(texts):
+        of.setdefault(t, []).append(i)
+    heads = {t: tri[i[0]] for t, i in of.items() if t}
+    want = [(a, b, s) for t, x in heads.items() for u, y in heads.items() if (s := len(x & y) / len(x | y)) > 0.85 for a in of[t] for b in of[u] if a < b]
+    sizes = [sorted((len(tri[a]), len(tri[b]))) for a, b, _ in want]
+    assert any(x <= 256 < y for x, y in sizes) and any(y <= 256 for _, y in sizes) and any(x > 1000 for x, _ in sizes)
+    got = dedup.trigram_pairs(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "id", "t")
+    assert sorted(map(tuple, got.collect())) == sorted(want) and got.schema["id_a"].dataType.simpleString() == "int"
+
+
+def test_alike_sets_parted_by_frequency(monkeypatch):
+    rng = random.Random(3)
+    for threshold, block in [(0.85, 4), (0.85, 512), (0.5, 16), (0.95, 4), (0.75, 1)]:
+        monkeypatch.setattr(alike, "_BLOCK", block)
+        words = ["".join(rng.choice("abcdé漢 0") for _ in range(rng.randint(1, 8))) for _ in range(12)]
+        texts = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) + str(rng.randint(10, 99)) for _ in range(200)})
+        rank = np.array(rng.sample(range(alike.BUCKETS), alike.BUCKETS), np.int32)
+        rows = sorted((int(g), t, [i]) for i, (t, own) in enumerate(zip(texts, alike.prefixes(texts, rank, threshold, 99))) for g in own if len(t) > 2)
+        batches = pa.table({"g": pa.array([g for g, *_ in rows], pa.int64()), "t": [t for _, t, _ in rows], "ids": pa.array([i for *_, i in rows], pa.list_(pa.int64()))}).to_batches(max_chunksize=7)
+        tri = [{t[k : k + 3] for k in range(len(t) - 2)} for t in texts]
+        want = [(i, j, s) for i, x in enumerate(tri) for j in range(i + 1, len(tri)) if x and tri[j] and (s := len(x & tri[j]) / len(x | tri[j])) > threshold]
+        assert sorted(p for a, b, s in alike.pairs(batches, rank, threshold) for p in zip(a.tolist(), b.tolist(), s.tolist())) == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7), (None, 3), (102, 100)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
